@@ -20,6 +20,7 @@ from tidelog.operators.offsets import (
     running_bytes,
     slice_bounds,
     slice_number,
+    with_byte_admission,
 )
 from tidelog.operators.routing import demux, fan_in, fan_out, fan_out_table
 from tidelog.session import configured, scratch_path
@@ -78,6 +79,7 @@ __all__ = [
     "tokens",
     "topic_stats",
     "window_counts",
+    "with_byte_admission",
     "word_count",
     "words",
 ]

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _RANK_BITS = 33  # monotonically_increasing_id keeps the row's rank in its low 33 bits
+_BROADCAST_ROWS = 1_000_000  # of four numbers each, at most three times over: under 100 MB
 
 
 def assign_offsets(
@@ -22,11 +24,22 @@ def assign_offsets(
 
     One range shuffle sorts the rows; each keeps its rank within its partition,
     and the ranges are written to ``staging`` because their bounds come from a
-    sample and would differ if they were computed again. The number of rows per
-    range, one row for each partition, then gives every range its first offset.
+    sample and would differ if they were computed again. One count for each
+    range, all that the driver sees, then gives every range its first offset.
     Rows that tie on the order, up to exact copies, are told apart by a hash
     and their place in the input, so a hot instant is spread over ranges too.
     """
+    return number_rows(df, staging, order_by, start, num_partitions)[0]
+
+
+def number_rows(
+    df: DataFrame,
+    staging: str,
+    order_by: Sequence[str] = ("timestamp", "id"),
+    start: int = 0,
+    num_partitions: int | None = None,
+) -> tuple[DataFrame, int]:
+    """:func:`assign_offsets` together with how many rows were numbered."""
     spark = df.sparkSession
     tie, place = "__tie", "__place"
     keys = [*order_by, tie, place]
@@ -43,20 +56,25 @@ def assign_offsets(
     staged = spark.read.schema(schema).parquet(staging).withColumn(
         "__range", F.shiftright("__rank", _RANK_BITS)
     )
-    first = _running_before(staged.groupBy("__range").agg(F.count(F.lit(1)).alias("n")), "__range", "n")
+    sizes = sorted(staged.groupBy("__range").agg(F.count(F.lit(1)).alias("n")).collect())
+    before = list(accumulate((row["n"] for row in sizes), initial=start))
+    first = spark.createDataFrame(
+        [(row["__range"], base) for row, base in zip(sizes, before)], "__range BIGINT, before BIGINT"
+    )
     rank = F.col("__rank").bitwiseAND(F.lit((1 << _RANK_BITS) - 1))
-    return (
+    numbered = (
         staged.join(F.broadcast(first), "__range")
-        .withColumn("offset", F.lit(start).cast("long") + F.col("before") + rank)
+        .withColumn("offset", F.col("before") + rank)
         .drop("__range", "__rank", "before")
     )
+    return numbered, before[-1] - start
 
 
 def _running_before(totals: DataFrame, key: str, value: str) -> DataFrame:
     """For each key, the sum over all smaller keys.
 
-    ``totals`` has one row for each range or slice, never one for each message,
-    so this single-task window and the broadcast of its result stay small.
+    ``totals`` has one row for each slice of a million messages, so this
+    single-task window and the broadcast of its result stay small.
     """
     before = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
     return totals.select(key, F.coalesce(F.sum(value).over(before), F.lit(0)).alias("before"))
@@ -89,20 +107,20 @@ def slice_bounds(start: int, end: int, slices: int) -> list[tuple[int, int]]:
 
 
 def running_bytes(
-    numbered: DataFrame, offset: str = "offset", payload: str = "payload", rows_per_slice: int = 1 << 20
+    numbered: DataFrame, offset: str = "offset", size: str = "size", rows_per_slice: int = 1 << 20
 ) -> DataFrame:
-    """Add ``bytes_before``: the payload bytes of all messages with a smaller offset.
+    """Add ``bytes_before``: the sum of ``size`` over all messages with a smaller offset.
 
     Offsets are dense, so slices of equal width hold equal numbers of rows and
     no slice is hot. Sums run inside the slices in parallel; the slice totals,
     one row for each slice, are then summed and added.
     """
-    size = F.coalesce(F.length(payload), F.lit(0)).cast("long")
+    bytes_ = F.col(size).cast("long")
     sliced = numbered.withColumn("__slice", F.shiftright(offset, _log2(rows_per_slice)))
-    totals = sliced.groupBy("__slice").agg(F.sum(size).alias("bytes"))
+    totals = sliced.groupBy("__slice").agg(F.sum(bytes_).alias("bytes"))
     inside = Window.partitionBy("__slice").orderBy(offset).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        sliced.withColumn("__inside", F.coalesce(F.sum(size).over(inside), F.lit(0)))
+        sliced.withColumn("__inside", F.coalesce(F.sum(bytes_).over(inside), F.lit(0)))
         .join(F.broadcast(_running_before(totals, "__slice", "bytes")), "__slice")
         .withColumn("bytes_before", F.col("before") + F.col("__inside"))
         .drop("__slice", "__inside", "before")
@@ -131,6 +149,42 @@ def admission_by_bytes(bytes_before: Column | str, size: Column, limit: int) ->
     return cell * 2 + (_div(last, width) > cell).cast("long")
 
 
+def with_byte_admission(
+    numbered: DataFrame, staging: str, limit: int, by_count: Column | None = None
+) -> DataFrame:
+    """Add ``admission`` under a byte limit, and a count limit too where one is given.
+
+    ``numbered`` must be stored, with dense offsets. Only offsets and lengths go
+    through the window; the outcome is one row for each batch, its first and last
+    offset. These meet the messages again over blocks of about one batch's
+    length, where a message has two candidates on average whatever the sizes,
+    so that payloads are not shuffled to learn their batch.
+    """
+    spark = numbered.sparkSession
+    sized = numbered.select("offset", F.coalesce(F.length("payload"), F.lit(0)).alias("size"))
+    admission = admission_by_bytes("bytes_before", F.col("size"), limit)
+    if by_count is not None:
+        # Both numbers grow with the offset, so their sum changes where either does.
+        admission = admission + by_count
+    running_bytes(sized, size="size").groupBy(admission.alias("admission")).agg(
+        F.min("offset").alias("low"), F.max("offset").alias("high")
+    ).write.mode("overwrite").parquet(staging)
+
+    bounds = spark.read.schema("admission BIGINT, low BIGINT, high BIGINT").parquet(staging)
+    shape = bounds.agg(F.count(F.lit(1)).alias("batches"), F.sum(F.expr("high - low + 1")).alias("rows")).first()
+    if not shape["batches"]:
+        return numbered.withColumn("admission", F.lit(None).cast("long"))
+    bits = max(1, shape["rows"] // shape["batches"]).bit_length() - 1
+    blocks = bounds.withColumn(
+        "__block", F.explode(F.sequence(F.shiftright("low", bits), F.shiftright("high", bits)))
+    )
+    if shape["batches"] <= _BROADCAST_ROWS:
+        blocks = F.broadcast(blocks)
+    inside = (F.col("offset") >= F.col("low")) & (F.col("offset") <= F.col("high"))
+    placed = numbered.withColumn("__block", F.shiftright("offset", bits)).join(blocks, "__block").where(inside)
+    return placed.drop("__block", "low", "high")
+
+
 def gap_check(df: DataFrame, offset: str = "offset") -> DataFrame:
     """One row: how many messages there are, and how many are missing or repeated.
 

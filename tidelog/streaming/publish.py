@@ -10,12 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.envelope import LOG_ROW
 from tidelog.functions.payload import encode
-from tidelog.operators.offsets import (
-    admission_by_bytes,
-    admission_by_count,
-    assign_offsets,
-    running_bytes,
-)
+from tidelog.operators.offsets import admission_by_count, number_rows, with_byte_admission
 from tidelog.sources.layout import LogFolder
 from tidelog.sources.log import last_offset
 
@@ -143,12 +138,16 @@ def append_batch(
     staged = folder.staging_path(publisher, batch_id, "rows")
     if number or limited:
         start = last_offset(messages.sparkSession, log) + 1
-        rows = assign_offsets(rows.drop("offset"), numbered, order_by, start, num_partitions)
-        if rows.isEmpty():
+        rows, count = number_rows(rows.drop("offset"), numbered, order_by, start, num_partitions)
+        if not count:
             folder.discard(folder.staging_path(publisher, batch_id, ""))
             return False
-        if limited:
-            rows = _with_admission(rows, start, max_batch_messages, max_batch_bytes)
+        by_count = admission_by_count("offset", max_batch_messages, start) if max_batch_messages else None
+        if max_batch_bytes:
+            bounds = folder.staging_path(publisher, batch_id, "bounds")
+            rows = with_byte_admission(rows, bounds, max_batch_bytes, by_count)
+        elif limited:
+            rows = rows.withColumn("admission", by_count)
     stored = [field.name for field in LOG_ROW.fields]
     if limited:
         # A batch is bounded by its limit, so no group of this shuffle is hot.
@@ -180,21 +179,6 @@ def _log_rows(messages: DataFrame) -> DataFrame:
     return messages.select(*columns)
 
 
-def _with_admission(
-    rows: DataFrame, start: int, max_batch_messages: int | None, max_batch_bytes: int | None
-) -> DataFrame:
-    by_count = admission_by_count("offset", max_batch_messages, start) if max_batch_messages else None
-    if not max_batch_bytes:
-        return rows.withColumn("admission", by_count)
-    size = F.coalesce(F.length("payload"), F.lit(0))
-    by_bytes = admission_by_bytes("bytes_before", size, max_batch_bytes)
-    summed = running_bytes(rows)
-    if by_count is None:
-        return summed.withColumn("admission", by_bytes)
-    # Both numbers grow with the offset, so their sum changes where either does.
-    return summed.withColumn("admission", by_bytes + by_count)
-
-
 def _spread(rows: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Bring each partition value together, but a hot one in several tasks.
 

@@ -39,7 +39,7 @@ def messages(spark):
         for position, (id_, topic, payload) in enumerate(rows):
             raw = payload.encode() if isinstance(payload, str) else payload
             filled.append((id_, topic, None if raw is None else bytearray(raw), START + timedelta(seconds=position)))
-        return spark.createDataFrame(filled, ENVELOPE)
+        return spark.createDataFrame(filled, ENVELOPE).coalesce(1)
 
     return build
 

@@ -217,6 +217,28 @@ def test_numbered_stream_landing(spark, path, messages):
     assert (row["first_offset"], row["last_offset"], row["missing"], row["repeated"]) == (0, 9, 0, 0)
 
 
+def test_landing_stamps_the_time_of_arrival(spark, path):
+    log = path("log")
+    before = spark.sql("SELECT current_timestamp()").first()[0]
+    land(spark.createDataFrame([(1, "test", bytearray(b"x"))], "id INT, topic STRING, payload BINARY"), log)
+    assert read_log(spark, log).first()["timestamp"] >= before
+
+
+def test_limited_stream_landing(spark, path, messages):
+    source, log = path("source"), path("log")
+    for part in range(2):
+        publish(messages([(i, "test", "xx") for i in range(5)]), source)
+    stream = subscribe(spark, LogOptions(source, "test", max_files_per_trigger=1))
+    publish_stream(
+        stream, log, path("position"), max_batch_messages=3, max_batch_bytes=4
+    ).awaitTermination()
+    held = read_log(spark, log).groupBy(F.input_file_name()).agg(F.min("offset"), F.max("offset"))
+    # Five messages of two bytes: cut after every third message and every fourth byte.
+    first = [(0, 1), (2, 2), (3, 3), (4, 4)]
+    second = [(low + 5, high + 5) for low, high in first]
+    assert sorted(tuple(r)[1:] for r in held.collect()) == first + second
+
+
 def test_expired_batches_are_gone(spark, path, messages):
     log = path("log")
     for part in range(4):

@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 
 STAGING = "_staging"
 _DONE = "_SUCCESS"
+_LAST_OFFSET = "_last_offset."  # its number follows in the file's name
 
 
 class LogFolder:
@@ -50,11 +51,30 @@ class LogFolder:
     def is_complete(self, publisher: str, batch_id: int) -> bool:
         return self._fs.exists(self._path(f"{self.batch_path(publisher, batch_id)}/{_DONE}"))
 
+    def mark_last_offset(self, staged: str, offset: int) -> None:
+        self._fs.create(self._path(f"{staged}/{_LAST_OFFSET}{offset}")).close()
+
+    def last_offset(self) -> int:
+        """The highest offset in the log, -1 before the first numbered message.
+
+        Offsets grow from batch to batch, so the names in the newest folder of
+        each publisher tell it, without a look into any file.
+        """
+        top = -1
+        for newest in self.newest_batches():
+            for status in self._fs.listStatus(self._path(newest)):
+                name = status.getPath().getName()
+                if name.startswith(_LAST_OFFSET):
+                    top = max(top, int(name[len(_LAST_OFFSET):]))
+        return top
+
     def commit(self, staged: str, publisher: str, batch_id: int) -> None:
         """Show a staged batch to readers by renaming its folder into place."""
         target = self._path(self.batch_path(publisher, batch_id))
         self._fs.mkdirs(target.getParent())
-        if self._fs.exists(target) or not self._fs.rename(self._path(staged), target):
+        if self._fs.exists(target):  # a rename that an unfit file system broke off
+            self._fs.delete(target, True)
+        if not self._fs.rename(self._path(staged), target):
             raise RuntimeError(f"batch {batch_id} of {publisher} could not be moved into {self.path}")
 
     def flatten_in_order(self, staged: str, column: str) -> None:

@@ -67,13 +67,8 @@ def read_newest(spark: SparkSession, log: str, keep: int = 1) -> DataFrame:
 
 
 def last_offset(spark: SparkSession, log: str) -> int:
-    """The highest offset in the log, -1 before the first numbered message.
-
-    Offsets grow from batch to batch, so the newest batch of each publisher is
-    enough, and only its ``offset`` column is read.
-    """
-    row = read_newest(spark, log).agg(F.max("offset").alias("top")).first()
-    return -1 if row is None or row["top"] is None else row["top"]
+    """The highest offset in the log, -1 before the first numbered message."""
+    return LogFolder(spark, log).last_offset()
 
 
 def _delivered(stored: DataFrame, chosen: LogOptions) -> DataFrame:

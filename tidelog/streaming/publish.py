@@ -12,7 +12,6 @@ from tidelog.envelope import LOG_ROW
 from tidelog.functions.payload import encode
 from tidelog.operators.offsets import admission_by_count, number_rows, with_byte_admission
 from tidelog.sources.layout import LogFolder
-from tidelog.sources.log import last_offset
 
 _LANDED = "landed"
 _PUBLISHED = "published"
@@ -77,6 +76,8 @@ def publish_stream(
     output_mode: str = "append",
     partition_by: Sequence[str] = (),
     number: bool = False,
+    max_batch_messages: int | None = None,
+    max_batch_bytes: int | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
     trigger: dict | None = None,
     name: str | None = None,
@@ -86,7 +87,9 @@ def publish_stream(
     The folder is named after the query's id, which its checkpoint keeps, and
     the micro-batch. A micro-batch that runs again after a failure is found
     there and skipped. A new checkpoint is a new publisher and skips nothing.
-    ``transform`` may rework each micro-batch, with any batch operation.
+    ``number`` lands the messages with dense offsets; a log then takes numbered
+    messages from one running query only. ``transform`` may rework each
+    micro-batch, with any batch operation.
     """
     if transform is None:
         encode(df, topic, qos)  # refuse a wrong schema before the stream starts
@@ -95,7 +98,14 @@ def publish_stream(
         query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         rows = transform(batch) if transform else batch
         append_batch(
-            encode(rows, topic, qos), log, query_id, batch_id, partition_by=partition_by, number=number
+            encode(rows, topic, qos),
+            log,
+            query_id,
+            batch_id,
+            partition_by=partition_by,
+            number=number,
+            max_batch_messages=max_batch_messages,
+            max_batch_bytes=max_batch_bytes,
         )
 
     writer = df.writeStream.foreachBatch(write).outputMode(output_mode)
@@ -137,7 +147,7 @@ def append_batch(
     numbered = folder.staging_path(publisher, batch_id, "numbered")
     staged = folder.staging_path(publisher, batch_id, "rows")
     if number or limited:
-        start = last_offset(messages.sparkSession, log) + 1
+        start = folder.last_offset() + 1
         rows, count = number_rows(rows.drop("offset"), numbered, order_by, start, num_partitions)
         if not count:
             folder.discard(folder.staging_path(publisher, batch_id, ""))
@@ -161,6 +171,8 @@ def append_batch(
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(staged)
+    if number or limited:
+        folder.mark_last_offset(staged, start + count - 1)
     folder.commit(staged, publisher, batch_id)
     folder.discard(folder.staging_path(publisher, batch_id, ""))
     return True

@@ -372,7 +372,7 @@ def _redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dedupe_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = scratch_path(spark, "redelivered")
     messages = _redelivered(spark, sf_dir)
-    land(messages, log, max_batch_messages=min(-(-messages.count() // 4), _MOST_MESSAGES))
+    land(messages, log, max_batch_messages=min(-(-messages.count() // 2), _MOST_MESSAGES))
     stream = subscribe(spark, LogOptions(log, "events/#", max_files_per_trigger=1, metadata=True))
     once = dedupe.dedupe_stream(stream, "1 hour", salt_by="offset")
     # Which copy of one micro-batch is kept is open, and so is its time.

@@ -207,6 +207,37 @@ def test_complete_mode_newest_batch_holds_all(spark, path, messages):
     assert read_log(spark, out).count() == 4
 
 
+def test_update_mode_publishes_what_changed(spark, path, messages):
+    log, out = path("log"), path("out")
+    for text in ("a b", "b c"):
+        publish(messages([(0, "test", text)]), log)
+    counted = word_count(subscribe(spark, LogOptions(log, "test", max_files_per_trigger=1)))
+    publish_stream(counted, out, path("position"), "counts", output_mode="update").awaitTermination()
+    assert payloads(read_newest(spark, out)) == ['{"value":"b","count":2}', '{"value":"c","count":1}']
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_hot_topic_is_written_by_several_tasks(spark, path, adaptive):
+    rows = spark.range(0, 40_000, 1, 8).select(
+        F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.concat(F.lit("t"), F.col("id") % 7)).alias("topic"),
+        F.sha2(F.col("id").cast("string"), 512).alias("payload"),
+    )
+    log = path("log")
+    changed = {"spark.sql.adaptive.enabled": adaptive, "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k"}
+    before = {key: spark.conf.get(key) for key in changed}
+    try:
+        for key, value in changed.items():
+            spark.conf.set(key, value)
+        publish(rows, log, partition_by=["topic"])
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    stored = read_log(spark, log)
+    assert stored.count() == 40_000
+    hot = stored.where("topic = 'hot'").groupBy(F.input_file_name()).count().collect()
+    assert len(hot) > 1
+
+
 def test_numbered_stream_landing(spark, path, messages):
     source, log = path("source"), path("log")
     for part in range(2):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _RANK_BITS = 33  # monotonically_increasing_id keeps the row's rank in its low 33 bits
-_BROADCAST_ROWS = 1_000_000  # of four numbers each, at most three times over: under 100 MB
+_BROADCAST_ROWS = 250_000  # of four numbers each, at most three times over: under 100 MB
 
 
 def assign_offsets(

@@ -55,7 +55,7 @@ def fan_out_table(messages: DataFrame, routes: DataFrame, broadcast_bytes: int =
     routes = routes.select(F.col("filter").alias("__filter"), "destination").distinct()
     levels = F.split("__filter", "/")
     checked = routes.agg(
-        F.coalesce(F.sum(F.length("__filter") + F.length("destination") + 64), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum(F.octet_length("__filter") + F.octet_length("destination") + 64), F.lit(0)).alias("bytes"),
         F.count_if(F.exists(levels, lambda level: level.rlike("[+#]") & ~level.isin("+", "#"))).alias("bad"),
     ).first()
     if checked["bad"]:

@@ -7,7 +7,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# RocksDB keeps state beyond the heap; the checksum pair makes Spark redo a whole
+# RocksDB keeps state beyond the heap, and without counting its rows need not read
+# before each write; the checksum pair makes Spark redo a whole
 # stage when a re-run map task did not reproduce the rows it wrote the first time.
 RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
@@ -19,6 +20,7 @@ RECOMMENDED = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
 }
 
 

@@ -72,6 +72,8 @@ class LogFolder:
         """Show a staged batch to readers by renaming its folder into place."""
         target = self._path(self.batch_path(publisher, batch_id))
         self._fs.mkdirs(target.getParent())
+        if self.is_complete(publisher, batch_id):
+            raise RuntimeError(f"batch {batch_id} of {publisher} was written to {self.path} by another job")
         if self._fs.exists(target):  # a rename that an unfit file system broke off
             self._fs.delete(target, True)
         if not self._fs.rename(self._path(staged), target):

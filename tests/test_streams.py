@@ -207,6 +207,29 @@ def test_complete_mode_newest_batch_holds_all(spark, path, messages):
     assert read_log(spark, out).count() == 4
 
 
+def test_old_results_are_dropped(spark, path, messages):
+    log, out, kept, position = path("log"), path("out"), path("kept"), path("position")
+    for part in range(4):
+        publish(messages([(part, "test", "a")]), log)
+    counted = word_count(subscribe(spark, LogOptions(log, "test", max_files_per_trigger=1)))
+    publish_stream(
+        counted, out, position, "counts", output_mode="complete", retain_batches=1
+    ).awaitTermination()
+    assert payloads(read_log(spark, out)) == ['{"value":"a","count":4}']
+    keep(counted, kept, path("position"), "complete").awaitTermination()
+    assert LogFolder(spark, kept).batches("results") == [2, 3]
+    assert [tuple(r) for r in newest_result(spark, kept).collect()] == [("a", 4)]
+
+
+def test_landing_by_topic(spark, path, messages):
+    log = path("log")
+    for _ in range(2):
+        land(messages([(1, "a/b", "x"), (2, "c", "y")]), log, partition_by=["topic"])
+    rows = read_log(spark, log).orderBy("offset").select("offset", "topic").collect()
+    assert [tuple(r) for r in rows] == [(0, "a/b"), (1, "c"), (2, "a/b"), (3, "c")]
+    assert received(spark, path, log, topic="c").count() == 2
+
+
 def test_update_mode_publishes_what_changed(spark, path, messages):
     log, out = path("log"), path("out")
     for text in ("a b", "b c"):

@@ -26,8 +26,9 @@ def assign_offsets(
     and the ranges are written to ``staging`` because their bounds come from a
     sample and would differ if they were computed again. One count for each
     range, all that the driver sees, then gives every range its first offset.
-    Rows that tie on the order, up to exact copies, are told apart by a hash
-    and their place in the input, so a hot instant is spread over ranges too.
+    Rows that tie on the order are told apart by a hash, and exact copies by
+    the task they come from, which is the same when a task runs again. So an
+    instant or a message with a third of all rows is spread over ranges too.
     """
     return number_rows(df, staging, order_by, start, num_partitions)[0]
 
@@ -43,7 +44,8 @@ def number_rows(
     spark = df.sparkSession
     tie, place = "__tie", "__place"
     keys = [*order_by, tie, place]
-    tied = df.withColumn(tie, F.xxhash64(*df.columns)).withColumn(place, F.monotonically_increasing_id())
+    hashed = [df[f"`{f.name}`"] for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    tied = df.withColumn(tie, F.xxhash64(*hashed)).withColumn(place, F.spark_partition_id())
     ranged = (
         tied.repartitionByRange(num_partitions, *keys) if num_partitions else tied.repartitionByRange(*keys)
     )

@@ -110,14 +110,14 @@ class LogFolder:
         return sorted(name[len(prefix):] for name in names if name.startswith(prefix))
 
 
-def expire(spark: SparkSession, log: str, retain_batches: int) -> list[str]:
-    """Delete whole batches, all but the last ``retain_batches`` of each publisher."""
+def expire(spark: SparkSession, log: str, retain_batches: int, publisher: str | None = None) -> list[str]:
+    """Delete whole batches, all but the last ``retain_batches`` of each publisher, or of one."""
     if retain_batches < 1:
         raise ValueError("at least one batch must be retained")
     folder = LogFolder(spark, log)
     gone = []
-    for publisher in folder.publishers():
-        for batch_id in folder.batches(publisher)[:-retain_batches]:
-            gone.append(folder.batch_path(publisher, batch_id))
+    for name in [publisher] if publisher else folder.publishers():
+        for batch_id in folder.batches(name)[:-retain_batches]:
+            gone.append(folder.batch_path(name, batch_id))
             folder.discard(gone[-1])
     return gone

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidelog.envelope import LOG_ROW
 from tidelog.functions.payload import encode
 from tidelog.operators.offsets import admission_by_count, number_rows, with_byte_admission
-from tidelog.sources.layout import LogFolder
+from tidelog.sources.layout import LogFolder, expire
 
 _LANDED = "landed"
 _PUBLISHED = "published"
@@ -23,6 +23,7 @@ def land(
     *,
     max_batch_messages: int | None = None,
     max_batch_bytes: int | None = None,
+    partition_by: Sequence[str] = (),
     order_by: Sequence[str] = ("timestamp", "id"),
     num_partitions: int | None = None,
 ) -> int | None:
@@ -39,6 +40,7 @@ def land(
         log,
         _LANDED,
         batch_id,
+        partition_by=partition_by,
         number=True,
         max_batch_messages=max_batch_messages,
         max_batch_bytes=max_batch_bytes,
@@ -78,6 +80,7 @@ def publish_stream(
     number: bool = False,
     max_batch_messages: int | None = None,
     max_batch_bytes: int | None = None,
+    retain_batches: int | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None,
     trigger: dict | None = None,
     name: str | None = None,
@@ -88,8 +91,9 @@ def publish_stream(
     the micro-batch. A micro-batch that runs again after a failure is found
     there and skipped. A new checkpoint is a new publisher and skips nothing.
     ``number`` lands the messages with dense offsets; a log then takes numbered
-    messages from one running query only. ``transform`` may rework each
-    micro-batch, with any batch operation.
+    messages from one running query only. ``retain_batches`` deletes the query's
+    older batches, which complete mode makes worthless. ``transform`` may rework
+    each micro-batch, with any batch operation.
     """
     if transform is None:
         encode(df, topic, qos)  # refuse a wrong schema before the stream starts
@@ -107,6 +111,8 @@ def publish_stream(
             max_batch_messages=max_batch_messages,
             max_batch_bytes=max_batch_bytes,
         )
+        if retain_batches:
+            expire(batch.sparkSession, log, retain_batches, query_id)
 
     writer = df.writeStream.foreachBatch(write).outputMode(output_mode)
     writer = writer.option("checkpointLocation", checkpoint)
@@ -195,9 +201,10 @@ def _spread(rows: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Bring each partition value together, but a hot one in several tasks.
 
     Adaptive execution splits what is too large for one task. Stateful streams
-    run without it and get a fixed salt instead.
+    run without it; there the salt is the task a row comes from, which spreads
+    exact copies too and is the same when a task runs again.
     """
     if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
         return rows.hint("rebalance", *[F.col(name) for name in partition_by])
-    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(16))
+    salt = F.pmod(F.spark_partition_id(), F.lit(16))
     return rows.repartition(*[F.col(name) for name in partition_by], salt)

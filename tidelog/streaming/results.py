@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tidelog.sources.layout import LogFolder
+from tidelog.sources.layout import LogFolder, expire
 
 _RESULTS = "results"
+_RETAINED = 2
 
 
 def keep(df: DataFrame, out: str, checkpoint: str, output_mode: str = "append") -> StreamingQuery:
@@ -20,6 +21,7 @@ def keep(df: DataFrame, out: str, checkpoint: str, output_mode: str = "append")
         def replace(batch: DataFrame, batch_id: int) -> None:
             folder = LogFolder(batch.sparkSession, out)
             batch.write.mode("overwrite").parquet(folder.batch_path(_RESULTS, batch_id))
+            expire(batch.sparkSession, out, _RETAINED, _RESULTS)
 
         writer = writer.foreachBatch(replace)
     return writer.trigger(availableNow=True).start()

@@ -6,7 +6,18 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from test_topics import expected
-from tidelog import demux, fan_in, fan_out, fan_out_table, land, publish, publish_stream, read_log, subscribe
+from tidelog import (
+    demux,
+    fan_in,
+    fan_out,
+    fan_out_table,
+    land,
+    publish,
+    publish_stream,
+    read_log,
+    store_by_tag,
+    subscribe,
+)
 
 
 def destinations(routes, topic):
@@ -92,6 +103,18 @@ def test_demux_decodes_by_tag(spark, messages):
     assert found == {1: (5, None), 2: (None, 7), 3: (None, None)}
 
 
+def test_one_table_for_each_tag(spark, path, messages):
+    log, out, position = path("log"), path("tables"), path("position")
+    formats = {"j": ("json/#", "k INT", "json"), "c": ("csv/+", "n INT, s STRING", "csv")}
+    for part in range(2):
+        publish(messages([(part, "json/a", '{"k": 5}'), (part, "csv/a", "7,x"), (part, "other", "{}")]), log)
+        store_by_tag(subscribe(spark, {"path": log, "topic": "#"}), out, position, formats).awaitTermination()
+    json = spark.read.parquet(f"{out}/j").orderBy("id").collect()
+    assert [(r["id"], r["topic"], r["value"]["k"]) for r in json] == [(0, "json/a", 5), (1, "json/a", 5)]
+    csv = spark.read.parquet(f"{out}/c").orderBy("id").collect()
+    assert [(r["id"], r["value"]["n"], r["value"]["s"]) for r in csv] == [(0, 7, "x"), (1, 7, "x")]
+
+
 def test_topic_folders_are_pruned(spark, path, messages):
     log = path("log")
     publish(messages([(1, "a/b", "x"), (2, "c", "y")]), log, partition_by=["topic"])

@@ -5,12 +5,15 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import payloads
 from tidelog import (
     ENVELOPE,
     LogOptions,
+    append_batch,
     dedupe,
     dedupe_stream,
     expire,
@@ -22,6 +25,7 @@ from tidelog import (
     read_log,
     read_messages,
     read_newest,
+    scratch_path,
     subscribe,
     window_counts,
     word_count,
@@ -173,6 +177,19 @@ def test_replayed_batch_is_skipped(spark, path, messages):
     assert received(spark, path, out).count() == 10
 
 
+@settings(max_examples=3, deadline=None)
+@given(st.lists(st.integers(0, 3), min_size=1, max_size=6))
+def test_any_order_of_replays_adds_each_batch_once(spark, batch_ids):
+    log = scratch_path(spark, "replays")
+    first_time = set()
+    for batch_id in batch_ids:
+        rows = spark.range(batch_id + 1).selectExpr("'t' AS topic", "CAST(id AS STRING) AS payload")
+        assert append_batch(rows, log, "p", batch_id) == (batch_id not in first_time)
+        first_time.add(batch_id)
+    held = read_log(spark, log).groupBy("batch_id").count().collect()
+    assert {r["batch_id"]: r["count"] for r in held} == {b: b + 1 for b in first_time}
+
+
 def test_half_written_batch_is_not_seen_and_written_anew(spark, path, messages):
     log = path("log")
     folder = LogFolder(spark, log)
@@ -337,7 +354,7 @@ def test_watermarked_dedupe_over_batches(spark, path, messages):
     rows = [(i % 40, "test", f"p{i % 40}") for i in range(120)]
     land(messages(rows), log, max_batch_messages=30)
     stream = subscribe(spark, LogOptions(log, "test", max_files_per_trigger=1, metadata=True))
-    keep(dedupe_stream(stream, "1 hour", salt_by="offset"), out, path("position")).awaitTermination()
+    keep(dedupe_stream(stream, "1 hour"), out, path("position")).awaitTermination()
     got = spark.read.parquet(out)
     assert sorted(r["id"] for r in got.collect()) == list(range(40))
     # A copy from the first micro-batch that held one is kept.

@@ -34,7 +34,7 @@ from tidelog.sources.log import (
     read_slice,
     subscribe,
 )
-from tidelog.streaming.publish import append_batch, land, publish, publish_stream
+from tidelog.streaming.publish import append_batch, land, publish, publish_stream, store_by_tag
 
 __all__ = [
     "ENVELOPE",
@@ -75,6 +75,7 @@ __all__ = [
     "scratch_path",
     "slice_bounds",
     "slice_number",
+    "store_by_tag",
     "subscribe",
     "tokens",
     "topic_stats",

@@ -12,20 +12,18 @@ from pyspark.sql import functions as F
 from tidelog.envelope import ENVELOPE
 
 
-def dedupe_stream(
-    messages: DataFrame, delay: str, salt_by: str = "timestamp", salts: int = 16
-) -> DataFrame:
+def dedupe_stream(messages: DataFrame, delay: str, salts: int = 16) -> DataFrame:
     """One message for each set of copies that arrive within ``delay`` of each other.
 
     The copy kept is from the first micro-batch that holds one. State keeps a
-    digest in place of the payload. Copies are first reduced under a salt taken
-    from a column in which they differ, their time or their offset, so that even
-    a message that makes up a third of the stream passes through many tasks;
-    at most ``salts`` of its copies meet in the second, deciding step.
+    digest in place of the payload. Copies are first reduced under a salt, the
+    task that read them, so that even a message that makes up a third of the
+    stream passes through many tasks; at most ``salts`` of its copies meet in
+    the second, deciding step.
     """
     keys = ["topic", "id", "__digest"]
     marked = messages.withColumn("__digest", F.unhex(F.sha2("payload", 256))).withColumn(
-        "__salt", F.pmod(F.xxhash64(salt_by), F.lit(salts))
+        "__salt", F.pmod(F.spark_partition_id(), F.lit(salts))
     )
     reduced = marked.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark([*keys, "__salt"])
     return reduced.dropDuplicatesWithinWatermark(keys).drop("__digest", "__salt")

@@ -207,6 +207,14 @@ SELECT id, topic,
             WHEN length(payload) > 0 AND rtrim(payload, ' ') = '' THEN 0
             ELSE len(string_split(rtrim(payload, ' '), ' ')) END AS words
 FROM everything""",
+    "demux_tables": f"""
+WITH {_BOTH}
+SELECT 'clicks' AS tag, id, topic, CAST(json_extract(payload, '$.k') AS INTEGER) AS k FROM messages
+WHERE topic = 'events/click'
+UNION ALL
+SELECT 'events', id, topic, CAST(json_extract(payload, '$.k') AS INTEGER) FROM messages
+UNION ALL
+SELECT 'texts', id, topic, NULL FROM docs""",
     "store_by_topic": f"""
 WITH {_BOTH}
 SELECT topic, count(*) AS messages, CAST(sum(octet_length(encode(payload))) AS BIGINT) AS bytes

@@ -35,7 +35,7 @@ from tidelog.sources.log import (
     read_slice,
     subscribe,
 )
-from tidelog.streaming.publish import land, publish, publish_stream
+from tidelog.streaming.publish import land, publish, publish_stream, store_by_tag
 from tidelog.streaming.results import keep, newest_result
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -373,8 +373,8 @@ def dedupe_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = scratch_path(spark, "redelivered")
     messages = _redelivered(spark, sf_dir)
     land(messages, log, max_batch_messages=min(-(-messages.count() // 2), _MOST_MESSAGES))
-    stream = subscribe(spark, LogOptions(log, "events/#", max_files_per_trigger=1, metadata=True))
-    once = dedupe.dedupe_stream(stream, "1 hour", salt_by="offset")
+    stream = subscribe(spark, LogOptions(log, "events/#", max_files_per_trigger=1))
+    once = dedupe.dedupe_stream(stream, "1 hour")
     # Which copy of one micro-batch is kept is open, and so is its time.
     return _text(_kept(spark, once, "deduped")).drop("timestamp")
 
@@ -443,6 +443,22 @@ def demux_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def demux_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, position = scratch_path(spark, "tagged"), scratch_path(spark, "tagged-position")
+    formats = {
+        "clicks": ("events/click", "k INT", "json"),
+        "events": ("events/#", "k INT", "json"),
+        "texts": ("docs/#", "first_field STRING", "csv"),
+    }
+    stream = subscribe(spark, {"path": landed(spark, sf_dir, "all"), "topic": "#"})
+    store_by_tag(stream, out, position, formats).awaitTermination()
+    tables = []
+    for name, number in (("clicks", "value.k"), ("events", "value.k"), ("texts", "NULL")):
+        stored = spark.read.parquet(f"{out}/{name}")
+        tables.append(stored.selectExpr(f"'{name}' AS tag", "id", "topic", f"CAST({number} AS INT) AS k"))
+    return routing.fan_in(*tables)
+
+
 def store_by_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "by-topic")
     publish(read_log(spark, landed(spark, sf_dir, "all")), out, partition_by=["topic"])
@@ -495,6 +511,7 @@ _QUERIES: list[Query] = [
     route_fanout_by_topic,
     route_fanout_fixed,
     demux_decode,
+    demux_tables,
     store_by_topic,
 ]
 

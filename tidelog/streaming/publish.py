@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog.envelope import LOG_ROW
-from tidelog.functions.payload import encode
+from tidelog.functions.payload import encode, from_payload
+from tidelog.functions.topics import check_filter, matches
 from tidelog.operators.offsets import admission_by_count, number_rows, with_byte_admission
 from tidelog.sources.layout import LogFolder, expire
 
@@ -121,6 +123,40 @@ def publish_stream(
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def store_by_tag(
+    df: DataFrame,
+    out: str,
+    checkpoint: str,
+    formats: Mapping[str, tuple[str, T.StructType | str, str]],
+    *,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """One table for each tag of a multiplexed stream: ``{table: (topic filter, schema, json or csv)}``.
+
+    Table ``t`` lies under ``<out>/t`` and holds ``id``, ``topic``, ``timestamp``
+    and the decoded ``value``. Each table is written from its own scan, which the
+    topic filter prunes, rather than from a cached copy of the whole micro-batch.
+    """
+    for topic_filter, _, _ in formats.values():
+        check_filter(topic_filter)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        for table, (topic_filter, schema, format) in formats.items():
+            folder = LogFolder(batch.sparkSession, f"{out}/{table}")
+            if folder.is_complete(query_id, batch_id):
+                continue
+            value = from_payload("payload", schema, format).alias("value")
+            staged = folder.staging_path(query_id, batch_id, "rows")
+            tagged = batch.where(matches("topic", topic_filter))
+            tagged.select("id", "topic", "timestamp", value).write.mode("overwrite").parquet(staged)
+            folder.commit(staged, query_id, batch_id)
+            folder.discard(folder.staging_path(query_id, batch_id, ""))
+
+    writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
 def append_batch(
     messages: DataFrame,
     log: str,

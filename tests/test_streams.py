@@ -143,6 +143,18 @@ def test_micro_batches_follow_arrival_order(spark, path, messages):
     assert [tuple(b) for b in batches] == [(k, 10 * k, min(10 * k + 9, 94)) for k in range(10)]
 
 
+def test_file_dates_rise_over_batches(spark, path, messages):
+    log = path("log")
+    for _ in range(2):
+        land(messages([(i, "test", str(i)) for i in range(30)]), log, max_batch_messages=10)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+        "pathGlobFilter", "*.parquet"
+    ).load(log).select("path", "modificationTime").collect()
+    by_date = [f["path"].split("batch_id=")[1] for f in sorted(files, key=lambda f: f["modificationTime"])]
+    assert by_date == sorted(by_date) and len(by_date) == 6
+    assert len({f["modificationTime"] for f in files}) == 6
+
+
 def test_byte_limit_of_the_reader_takes_at_least_one_file(spark, path, messages):
     log = path("log")
     for part in range(3):
@@ -349,12 +361,13 @@ def test_clean_session_skips_what_came_before(spark, path, messages):
     assert received(spark, path, log, clean_session=True, start_timestamp=since).count() == 2
 
 
-def test_watermarked_dedupe_over_batches(spark, path, messages):
+@pytest.mark.parametrize("salts", [1, 16])
+def test_watermarked_dedupe_over_batches(spark, path, messages, salts):
     log, out = path("log"), path("out")
     rows = [(i % 40, "test", f"p{i % 40}") for i in range(120)]
     land(messages(rows), log, max_batch_messages=30)
     stream = subscribe(spark, LogOptions(log, "test", max_files_per_trigger=1, metadata=True))
-    keep(dedupe_stream(stream, "1 hour"), out, path("position")).awaitTermination()
+    keep(dedupe_stream(stream, "1 hour", salts), out, path("position")).awaitTermination()
     got = spark.read.parquet(out)
     assert sorted(r["id"] for r in got.collect()) == list(range(40))
     # A copy from the first micro-batch that held one is kept.

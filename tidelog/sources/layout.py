@@ -79,15 +79,16 @@ class LogFolder:
         if not self._fs.rename(self._path(staged), target):
             raise RuntimeError(f"batch {batch_id} of {publisher} could not be moved into {self.path}")
 
-    def flatten_in_order(self, staged: str, column: str) -> None:
+    def flatten_in_order(self, staged: str, column: str, started_ms: int) -> None:
         """Lift ``<column>=<k>/file`` to the top and date the files in order of k.
 
         A file stream takes files by their date, so it then takes the batches in
-        arrival order. One file is one micro-batch to come, so the number of
-        renames here is the number of micro-batches that the reader will run.
+        arrival order. Dates go up by a millisecond from the start of the write:
+        later than all batches before, and far from the age at which a file
+        stream would ignore a file. One file is one micro-batch to come, so there
+        are as many renames here as micro-batches that the reader will run.
         """
         keys = sorted(int(value) for value in self._values(staged, column))
-        stamp = self._fs.getFileStatus(self._path(staged)).getModificationTime()
         width = len(str(keys[-1])) if keys else 1
         for position, key in enumerate(keys):
             folder = self._path(f"{staged}/{column}={key}")
@@ -95,7 +96,7 @@ class LogFolder:
                 name = status.getPath().getName()
                 target = self._path(f"{staged}/{key:0{width}d}-{name}")
                 self._fs.rename(status.getPath(), target)
-                self._fs.setTimes(target, stamp - (len(keys) - position) * 1000, -1)
+                self._fs.setTimes(target, started_ms + position, -1)
             self._fs.delete(folder, True)
 
     def discard(self, path: str) -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -184,6 +185,7 @@ def append_batch(
     folder = LogFolder(messages.sparkSession, log)
     if folder.is_complete(publisher, batch_id):
         return False
+    started_ms = int(time.time() * 1000)
     limited = bool(max_batch_messages or max_batch_bytes)
     rows = _log_rows(messages)
     numbered = folder.staging_path(publisher, batch_id, "numbered")
@@ -206,7 +208,7 @@ def append_batch(
         rows.select(*stored, "admission").repartition("admission").sortWithinPartitions(
             "admission", "offset"
         ).write.mode("overwrite").partitionBy("admission").parquet(staged)
-        folder.flatten_in_order(staged, "admission")
+        folder.flatten_in_order(staged, "admission", started_ms)
     else:
         rows = rows.select(*stored)
         writer = (_spread(rows, partition_by) if partition_by else rows).write.mode("overwrite")

@@ -8,6 +8,13 @@ import __spark_entry__ as entry
 from compare import difference, tables_of
 
 SF_DIR = "/root/testdata/sf0.001"
+SQL_TYPES = {
+    "boolean": "BOOLEAN",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP",
+}
 
 
 @pytest.fixture(scope="module")
@@ -21,9 +28,11 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query_matches_sql(spark, sql_tables, name):
-    got = entry.queries()[name](spark, SF_DIR).toPandas()
-    wanted = sql_tables.execute(entry.oracle_sql()[name]).df()
-    assert difference(got, wanted) is None
+    sql = entry.oracle_sql()[name]
+    result = entry.queries()[name](spark, SF_DIR)
+    types = {row[0]: row[1] for row in sql_tables.execute(f"DESCRIBE {sql}").fetchall()}
+    assert {column: SQL_TYPES[type_] for column, type_ in result.dtypes} == types
+    assert difference(result.toPandas(), sql_tables.execute(sql).df()) is None
 
 
 def test_entry_is_the_flagship(spark):

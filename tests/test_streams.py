@@ -264,7 +264,8 @@ def test_update_mode_publishes_what_changed(spark, path, messages):
     for text in ("a b", "b c"):
         publish(messages([(0, "test", text)]), log)
     counted = word_count(subscribe(spark, LogOptions(log, "test", max_files_per_trigger=1)))
-    publish_stream(counted, out, path("position"), "counts", output_mode="update").awaitTermination()
+    publish_stream(counted, out, path("position"), "counts", output_mode="update", files=1).awaitTermination()
+    assert len(read_log(spark, out).inputFiles()) == 2
     assert payloads(read_newest(spark, out)) == ['{"value":"b","count":2}', '{"value":"c","count":1}']
 
 

@@ -62,13 +62,14 @@ def publish(
     publisher: str = _PUBLISHED,
     batch_id: int | None = None,
     partition_by: Sequence[str] = (),
+    files: int | None = None,
 ) -> bool:
     """Publish a bounded frame. A batch number already in the log is skipped."""
     messages = encode(df, topic, qos)
     if batch_id is None:
         done = LogFolder(df.sparkSession, log).batches(publisher)
         batch_id = done[-1] + 1 if done else 0
-    return append_batch(messages, log, publisher, batch_id, partition_by=partition_by)
+    return append_batch(messages, log, publisher, batch_id, partition_by=partition_by, files=files)
 
 
 def publish_stream(
@@ -80,6 +81,7 @@ def publish_stream(
     qos: int | None = None,
     output_mode: str = "append",
     partition_by: Sequence[str] = (),
+    files: int | None = None,
     number: bool = False,
     max_batch_messages: int | None = None,
     max_batch_bytes: int | None = None,
@@ -94,7 +96,8 @@ def publish_stream(
     the micro-batch. A micro-batch that runs again after a failure is found
     there and skipped. A new checkpoint is a new publisher and skips nothing.
     ``number`` lands the messages with dense offsets; a log then takes numbered
-    messages from one running query only. ``retain_batches`` deletes the query's
+    messages from one running query only. ``files`` limits the files of a
+    micro-batch that has no partition columns. ``retain_batches`` deletes the query's
     older batches, which complete mode makes worthless. ``transform`` may rework
     each micro-batch, with any batch operation.
     """
@@ -110,6 +113,7 @@ def publish_stream(
             query_id,
             batch_id,
             partition_by=partition_by,
+            files=files,
             number=number,
             max_batch_messages=max_batch_messages,
             max_batch_bytes=max_batch_bytes,
@@ -165,6 +169,7 @@ def append_batch(
     batch_id: int,
     *,
     partition_by: Sequence[str] = (),
+    files: int | None = None,
     number: bool = False,
     max_batch_messages: int | None = None,
     max_batch_bytes: int | None = None,
@@ -178,7 +183,9 @@ def append_batch(
     stream that has read the old ones would read a second time.
 
     With a batch limit every file is one future micro-batch: it keeps to the
-    limits and files are dated in arrival order.
+    limits and files are dated in arrival order. Otherwise every task writes a
+    file; ``files`` gathers the rows into that many first, for the small results
+    of a state with many partitions.
     """
     if partition_by and (max_batch_messages or max_batch_bytes):
         raise ValueError("a batch limit and partition columns cannot be combined")
@@ -211,6 +218,8 @@ def append_batch(
         folder.flatten_in_order(staged, "admission", started_ms)
     else:
         rows = rows.select(*stored)
+        if files and not partition_by:
+            rows = rows.repartition(files)
         writer = (_spread(rows, partition_by) if partition_by else rows).write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(*partition_by)

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import accumulate
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _RANK_BITS = 33  # monotonically_increasing_id keeps the row's rank in its low 33 bits
+_FIRST_OFFSETS = pa.schema([("__range", pa.int64()), ("before", pa.int64())])
 _BROADCAST_ROWS = 250_000  # of four numbers each, at most three times over: under 100 MB
 
 
@@ -60,9 +62,8 @@ def number_rows(
     )
     sizes = sorted(staged.groupBy("__range").agg(F.count(F.lit(1)).alias("n")).collect())
     before = list(accumulate((row["n"] for row in sizes), initial=start))
-    first = spark.createDataFrame(
-        [(row["__range"], base) for row, base in zip(sizes, before)], "__range BIGINT, before BIGINT"
-    )
+    columns = {"__range": [row["__range"] for row in sizes], "before": before[:-1]}
+    first = spark.createDataFrame(pa.table(columns, schema=_FIRST_OFFSETS))
     rank = F.col("__rank").bitwiseAND(F.lit((1 << _RANK_BITS) - 1))
     numbered = (
         staged.join(F.broadcast(first), "__range")

@@ -54,18 +54,18 @@ def fan_out_table(messages: DataFrame, routes: DataFrame, broadcast_bytes: int =
     """
     routes = routes.select(F.col("filter").alias("__filter"), "destination").distinct()
     levels = F.split("__filter", "/")
-    checked = routes.agg(
-        F.coalesce(F.sum(F.octet_length("__filter") + F.octet_length("destination") + 64), F.lit(0)).alias("bytes"),
-        F.count_if(F.exists(levels, lambda level: level.rlike("[+#]") & ~level.isin("+", "#"))).alias("bad"),
-    ).first()
-    if checked["bad"]:
-        raise ValueError(f"{checked['bad']} routes have a wildcard that is not a whole level")
     shape = F.transform(levels, lambda level: F.when(level.isin("+", "#"), level).otherwise("-"))
     shaped = routes.withColumn("__shape", F.concat_ws("/", shape))
-    shapes = sorted(row["__shape"] for row in shaped.select("__shape").distinct().toLocalIterator())
+    summary = shaped.groupBy("__shape").agg(
+        F.sum(F.octet_length("__filter") + F.octet_length("destination") + 64).alias("bytes"),
+        F.count_if(F.exists(levels, lambda level: level.rlike("[+#]") & ~level.isin("+", "#"))).alias("bad"),
+    ).collect()  # one row for each shape, however long the table is
+    if any(row["bad"] for row in summary):
+        raise ValueError("there are routes with a wildcard that is not a whole level")
+    shapes = sorted(row["__shape"] for row in summary)
     for each in shapes:
         check_filter(each)
-    if checked["bytes"] <= broadcast_bytes:
+    if sum(row["bytes"] for row in summary) <= broadcast_bytes:
         return _fan_out_by_broadcast(messages, shaped, shapes)
     if messages.isStreaming:
         raise ValueError("the routes are too large to broadcast: call this in publish_stream's transform")

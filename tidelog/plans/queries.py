@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -407,8 +408,13 @@ def fan_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("id", "topic", _time("timestamp").alias("timestamp"), _md5())
 
 
+def _routes(spark: SparkSession) -> DataFrame:
+    filters, destinations = zip(*ROUTES)
+    return spark.createDataFrame(pa.table({"filter": filters, "destination": destinations}))
+
+
 def route_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    routes = spark.createDataFrame(ROUTES, "filter STRING, destination STRING")
+    routes = _routes(spark)
     out, position = scratch_path(spark, "routed"), scratch_path(spark, "routed-position")
     stream = subscribe(spark, {"path": landed(spark, sf_dir, "all"), "topic": "#"})
     publish_stream(
@@ -418,7 +424,7 @@ def route_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def route_fanout_by_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    routes = spark.createDataFrame(ROUTES, "filter STRING, destination STRING")
+    routes = _routes(spark)
     log = read_log(spark, landed(spark, sf_dir, "all"))
     return routing.fan_out_table(log, routes, broadcast_bytes=0).select("topic", "id", _md5())
 

@@ -33,6 +33,7 @@ from tidelog import (
 from tidelog.sources.layout import LogFolder
 from tidelog.streaming.results import keep, newest_result
 
+# Fixed value: the text that the known scenarios send.
 TEXT = "MQTT is a message queue."
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.llm import content_sort, mixing, url_rules
+from tidelog.llm import content_sort, mixing, packing, url_rules
 from tidelog.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,12 @@ URL_RULES = [
 ]
 
 
+def op1_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), str(public_tokenizers.path("word_bpe_49k.json")))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.mark_copies(table(spark, sf_dir, "documents"), largest=True)
 

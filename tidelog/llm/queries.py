@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidelog.llm import content_sort, mixing, packing, url_rules
+from tidelog.llm import content_sort, language_id, mixing, packing, toxicity, url_rules
 from tidelog.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +28,18 @@ def op1_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), str(public_tokenizers.path("word_bpe_49k.json")))
 
 
+def fold(folds: int) -> Column:
+    """Which of so many folds a document is in; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % folds
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.fit(documents, table(spark, sf_dir, "labels"), fold(5) != 0)
+    scored = toxicity.score(documents, model)
+    return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.mark_copies(table(spark, sf_dir, "documents"), largest=True)
 
@@ -35,6 +48,13 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = language_id.fit(documents, fold(3) != 1)
+    predicted = language_id.predict(documents, model)
+    return predicted.select("doc_id", (fold(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_rules.judge(table(spark, sf_dir, "pages"), rules)

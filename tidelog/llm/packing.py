@@ -11,6 +11,7 @@ counts by reading task, so no window ever holds the pieces of a frequent length.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -41,6 +42,8 @@ class ChunkTokens:
     """
 
     def __init__(self, path: str):
+        # a task has one core; the library's threads only wait for each other there
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)

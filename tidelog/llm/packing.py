@@ -28,7 +28,7 @@ LIMIT = 2048
 END_ID = 0
 _ROWS_AT_ONCE = 256
 _KNOWN_CHUNKS = 400_000
-_KNOWN_WORDS = 600_000
+_KNOWN_WORDS = 300_000  # in each of two generations
 # ASCII marks that are never joined to letters or digits by the tokenizer's split; an
 # apostrophe may be.
 _MARKS = ".,;:!?()\"-|*#%&$"
@@ -49,6 +49,7 @@ class ChunkTokens:
         self._tokenizer = Tokenizer.from_file(path)
         self._chunks: dict[str, bytes] = {}
         self._words: dict[str, bytes] = {}
+        self._older_words: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit numbers."""
@@ -63,10 +64,15 @@ class ChunkTokens:
         return b"".join([known[chunk] for chunk in chunks])
 
     def _learn(self, chunks: list[str]) -> None:
-        if len(self._words) > _KNOWN_WORDS:
-            self._words.clear()
+        if len(self._words) > _KNOWN_WORDS:  # words that come up again move on to the next generation
+            self._words, self._older_words = {}, self._words
         parts = [self._parts(chunk) for chunk in chunks]
-        new = list({part for group in parts for part in group if part not in self._words})
+        new = []
+        for part in {part for group in parts for part in group if part not in self._words}:
+            if part in self._older_words:
+                self._words[part] = self._older_words[part]
+            else:
+                new.append(part)
         for word, found in zip(new, self._tokenizer.encode_batch_fast(new, add_special_tokens=False)):
             self._words[word] = np.array(found.ids, "<u4").tobytes()
         for chunk, group in zip(chunks, parts):

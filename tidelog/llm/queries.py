@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import content_sort, language_id, mixing, packing, toxicity, url_rules
+from tidelog.llm import content_sort, fingerprints, language_id, mixing, packing, toxicity, url_rules
 from tidelog.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,25 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", (fold(3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def edited_end(text: str, following: str) -> str:
+    """The last quarter of the text replaced by as much of the beginning of the next."""
+    end = len(text) // 4
+    return text[: len(text) - end] + following[:end]
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compared = fingerprints.compare_with_next(table(spark, sf_dir, "documents"), edited_end)
+    return compared.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited_text", 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
+
+
 def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return url_rules.judge(table(spark, sf_dir, "pages"), rules)

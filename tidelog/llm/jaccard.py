@@ -366,6 +366,19 @@ def near_groups(
     )
 
 
+def drop_near(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
+    """The documents with all columns of the input, of each group only the one with the smallest id.
+
+    Documents without a link stay, as do rows with a null id; rows that repeat the
+    id that stays are one document and stay together.
+    """
+    groups = near_groups(docs, id_col, text_col, words, percent)
+    dropped = groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("near copy"))
+    return docs.join(dropped, docs[id_col] == dropped["near copy"], "left_anti")
+
+
 def _possible(classes: DataFrame, percent: int) -> DataFrame:
     """Links a, b that join any two classes which may be near, by the trees of their first n-grams."""
     entries = classes.select(F.explode("beginning").alias("gram"), "node", "size")

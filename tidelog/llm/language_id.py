@@ -105,10 +105,8 @@ def likelihoods(model: LanguageModel, text: str) -> np.ndarray:
     return total
 
 
-def predict(
-    docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()
-) -> DataFrame:
-    """One row for each document: its id, the columns of ``carry``, lang_pred, score.
+def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for each document: its id, lang_pred, score. Extra columns are not read.
 
     ``score`` is the posterior of the language under equal priors. A text that is null
     or has no letter, and any text if the model knows no language, is ``und`` with
@@ -116,16 +114,15 @@ def predict(
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     read = docs.select(
-        F.col(id_col), *carry, letters(F.col(text_col)).alias("has letters"), F.col(text_col).cast("string").alias("its text")
+        F.col(id_col).alias("id"), letters(F.col(text_col)).alias("able"), F.col(text_col).cast("string").alias("text")
     )
-    kept = [id_col, *carry]
-    fields = [f"`{name}` {read.schema[name].dataType.simpleString()}" for name in kept]
+    id_type = read.schema["id"].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
             names, scores = [], []
-            for able, text in zip(batch.column("has letters").to_pylist(), batch.column("its text")):
+            for able, text in zip(batch.column("able").to_pylist(), batch.column("text")):
                 if not able or not known.languages:
                     names.append(UNDETERMINED)
                     scores.append(0.0)
@@ -135,8 +132,9 @@ def predict(
                 names.append(known.languages[best])
                 scores.append(float(1 / np.exp(total - total[best]).sum()))
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(name) for name in kept], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                [*kept, "lang_pred", "score"],
+                [batch.column("id"), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                ["id", "lang_pred", "score"],
             )
 
-    return read.mapInArrow(score, ", ".join([*fields, "lang_pred string", "score double"]))
+    predicted = read.mapInArrow(score, f"id {id_type}, lang_pred string, score double")
+    return predicted.withColumnRenamed("id", id_col)

@@ -84,7 +84,10 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def registered() -> dict[str, Query]:
-    return {name: item for name, item in globals().items() if name.startswith("op")}
+    import corpus_pipeline
+
+    operators = {name: item for name, item in globals().items() if name.startswith("op")}
+    return operators | {"pipeline": corpus_pipeline.run}
 
 
 def statements() -> dict[str, str]:

@@ -257,40 +257,59 @@ def best_cut(logits: np.ndarray, labels: np.ndarray) -> float | None:
     return float((ordered[cut] + below) / 2)
 
 
-def score(
-    docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()
-) -> DataFrame:
-    """One row for each document: its id, the columns of ``carry``, score, predicted.
+def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for each document: its id, score, predicted.
 
     ``predicted`` is 1 where score is 0.5 or more. Only the text is read. Null texts are
     empty; an empty text, or one without known words, has the score of silence. Rows that
     repeat an id are scored one by one; an empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [id_col, *carry]
-    read = docs.select(*kept, F.coalesce(F.col(text_col), F.lit("")).alias("its text"))
-    fields = [f"`{name}` {read.schema[name].dataType.simpleString()}" for name in kept]
+    read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    id_type = read.schema["id"].dataType.simpleString()
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        rows: dict[str, int] = {}
+        scores_of = _Scorer(shared.value)
         for batch in batches:
-            scores = []
-            for text in batch.column("its text"):
-                words = _WORDS.findall(text.as_py().lower())
-                if len(rows) > _KNOWN_WORDS:
-                    rows.clear()
-                ids = np.empty(len(words), np.int64)
-                for place, word in enumerate(words):
-                    row = rows.get(word)
-                    if row is None:
-                        row = rows[word] = known.rows.get(zlib.crc32(word.encode("utf-8", "surrogatepass")), 0)
-                    ids[place] = row
-                scores.append(known.score(ids))
-            values = np.array(scores, np.float64)
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(name) for name in kept], pa.array(values), pa.array((values >= 0.5).astype(np.int32))],
-                [*kept, "score", "predicted"],
-            )
+            values = scores_of(batch.column("text"))
+            columns = [batch.column("id"), pa.array(values), pa.array((values >= 0.5).astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "score", "predicted"])
+
+    return read.mapInArrow(scored, f"id {id_type}, score double, predicted int").withColumnRenamed("id", id_col)
+
+
+def drop_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
+    """The documents that are not predicted toxic, with all columns of the input."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text_col)
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores_of = _Scorer(shared.value)
+        for batch in batches:
+            yield batch.filter(pa.array(scores_of(batch.column(place)) < 0.5))
+
+    return docs.mapInArrow(clean, docs.schema)
+
+
+class _Scorer:
+    """Scores of a column of texts; rows of words seen before are kept, up to a fixed number."""
+
+    def __init__(self, model: ToxicityModel):
+        self._model = model
+        self._rows: dict[str, int] = {}
+
+    def __call__(self, texts: pa.Array) -> np.ndarray:
+        return np.array([self._model.score(self._ids(text.as_py() or "")) for text in texts], np.float64)
 
-    return read.mapInArrow(scored, ", ".join([*fields, "score double", "predicted int"]))
+    def _ids(self, text: str) -> np.ndarray:
+        words = _WORDS.findall(text.lower())
+        if len(self._rows) > _KNOWN_WORDS:
+            self._rows.clear()
+        ids = np.empty(len(words), np.int64)
+        for place, word in enumerate(words):
+            row = self._rows.get(word)
+            if row is None:
+                hashed = zlib.crc32(word.encode("utf-8", "surrogatepass"))
+                row = self._rows[word] = self._model.rows.get(hashed, 0)
+            ids[place] = row
+        return ids

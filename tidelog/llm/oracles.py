@@ -77,7 +77,28 @@ SELECT page_id, host, path, rule_host || rule_path AS rule, coalesce(rule_verdic
 FROM fitting WHERE place = 1
 """
 
+_SHARDS = """
+WITH placed AS (
+    SELECT doc_id, CAST(coalesce(octet_length(encode(text)), 0) AS BIGINT) AS bytes,
+           CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS place
+    FROM documents
+), buckets AS (
+    SELECT d.depth, place >> (60 - d.depth) AS prefix, sum(bytes) AS shard_bytes, count(*) AS shard_rows,
+           min(place) = max(place) AS one
+    FROM placed, (SELECT CAST(unnest(range(0, 61)) AS INTEGER) AS depth) d GROUP BY ALL
+), fitting AS (
+    SELECT p.doc_id, p.bytes, p.place, b.*,
+           row_number() OVER (PARTITION BY p.doc_id, p.place ORDER BY b.depth) AS turn
+    FROM placed p JOIN buckets b ON p.place >> (60 - b.depth) = b.prefix
+    WHERE b.shard_bytes <= 67108864 OR b.one OR b.depth = 60
+)
+SELECT doc_id, bytes, CASE WHEN depth > 0 THEN lpad(bin(prefix), depth, '0') ELSE '' END AS shard, depth,
+       shard_rows, CAST(shard_bytes AS BIGINT) AS shard_bytes, shard_bytes <= 67108864 AS fits
+FROM fitting WHERE turn = 1
+"""
+
 SQL = {
+    "op6_shard_documents": _SHARDS,
     "op3_exact_dedup": _EXACT_DEDUP,
     "op5_mix_sources": _MIX,
     "op10_url_rules": _URL_RULES,

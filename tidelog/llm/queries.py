@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import content_sort, fingerprints, jaccard, language_id, mixing, packing, toxicity, url_rules
+from tidelog.llm import content_sort, fingerprints, jaccard, language_id, licenses, mixing, packing, sharding, toxicity, url_rules
 from tidelog.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,10 +44,19 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.mark_copies(table(spark, sf_dir, "documents"), largest=True)
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return licenses.scan(documents, licenses.fit(documents))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op6_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = language_id.fit(documents, fold(3) != 1)

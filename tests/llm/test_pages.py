@@ -1,0 +1,57 @@
+"""URL rules by brute force, with nested hosts and odd URLs."""
+
+from __future__ import annotations
+
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from tidelog.llm import url_rules
+
+RULES = "host string, path string, verdict string"
+
+
+def brute(url, rules, default="allow"):
+    found = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+    host, path = found.groups() if found else ("", "")
+    host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
+    fitting = [
+        (len(h) + len(p), len(h), v == "block", h + p, v)
+        for h, p, v in rules
+        if (host == h or host.endswith("." + h)) and path.startswith(p)
+    ]
+    best = max(fitting, default=(0, 0, 0, None, default))
+    return host, path, best[3], best[4]
+
+
+def judged(spark, urls, rules, **options):
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("host", F.lit("clash"))
+    rows = url_rules.judge(pages, spark.createDataFrame(rules, RULES), **options).collect()
+    return {row["page_id"]: tuple(row)[1:] for row in rows}
+
+
+def test_rules_by_brute_force(spark):
+    draw = random.Random(1)
+    labels = ["a", "b", "com", "net", "a-b", "ab", "z"]
+    host = lambda: ".".join(draw.choice(labels) for _ in range(draw.randint(1, 4)))
+    path = lambda: "".join("/" + draw.choice(["x", "y", "xx", ""]) for _ in range(draw.randint(0, 3)))
+    rules = list({(host(), path()): draw.choice(["allow", "block"]) for _ in range(80)}.items())
+    rules = [(h, p, v) for (h, p), v in rules]
+    urls = [f"http://{host()}{path()}{draw.choice(['', '?q=://b/', '#f'])}" for _ in range(600)]
+    urls += ["HTTP://A.COM/x", None, "", "no scheme/x", "://", "http://", "http://a.com", "x://y://a.com/x", "http://a\x01b.com/x", "http://com:80/"]
+    assert judged(spark, urls, rules) == {n: brute(url, rules) for n, url in enumerate(urls)}
+
+
+def test_ties_defaults_and_odd_rules(spark):
+    rules = [("a.com", "/x", "allow"), ("a.com", "/x", "block"), ("com", "/x/ab", "allow"), (None, "/", "block"), ("b.com", None, "block")]
+    found = judged(spark, ["http://a.com/x/", "http://b.com", "http://c.org/", "http://a.com/x/ab"], rules, default="block")
+    assert [found[n][2:] for n in range(4)] == [("a.com/x", "block"), ("b.com", "block"), (None, "block"), ("com/x/ab", "allow")]
+
+
+def test_repeated_and_empty_tables(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/"), (1, "http://a.com/"), (None, "http://a.com/")], "page_id long, url string")
+    rules = spark.createDataFrame([("com", "/", "block")], RULES)
+    assert [row["verdict"] for row in url_rules.judge(pages, rules).collect()] == ["block"] * 3
+    assert url_rules.judge(pages.limit(0), rules).count() == 0
+    assert [row["verdict"] for row in url_rules.judge(pages, rules.limit(0)).collect()] == ["allow"] * 3

@@ -28,6 +28,8 @@ SAMPLE_ROWS = {1: 4_000, 0: 8_000}
 MOST_WORDS = 1 << 17
 EPOCHS = 12
 _BATCH = 64
+_LEAST_STEPS = 800
+_HIDDEN = 0.2
 _KNOWN_WORDS = 500_000
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -130,7 +132,7 @@ def fit(
 
 
 def train(texts: list[np.ndarray], labels: np.ndarray, languages: list[str]) -> ToxicityModel:
-    """The model of texts given as word hashes. A fifth of them only sets the thresholds."""
+    """The model of texts given as word hashes. A fifth of them only chooses the pass and sets the thresholds."""
     model = ToxicityModel()
     if len(set(labels.tolist())) < 2:
         return model
@@ -141,8 +143,7 @@ def train(texts: list[np.ndarray], labels: np.ndarray, languages: list[str]) ->
     model.rows = {int(word): row for row, word in enumerate(frequent, 1)}
     ids = [model.ids(text.tolist()) for text in texts]
     held = np.arange(len(texts)) % 5 == 4
-    train_on = np.flatnonzero(~held)
-    _fit_filters(model, ids, labels, train_on)
+    _fit_filters(model, ids, labels, np.flatnonzero(~held), np.flatnonzero(held))
     _fit_languages(model, ids, languages)
     _fit_thresholds(model, ids, labels, held)
     return model
@@ -163,7 +164,12 @@ class _Adam:
         self.value[rows] -= size * self.mean[rows] / (np.sqrt(self.square[rows]) + 1e-8)
 
 
-def _fit_filters(model: ToxicityModel, ids: list[np.ndarray], labels: np.ndarray, train_on: np.ndarray) -> None:
+def _loss(logits: np.ndarray, labels: np.ndarray, positive: float) -> float:
+    return float((np.logaddexp(0, np.where(labels == 1, -logits, logits)) * np.where(labels == 1, positive, 1.0)).mean())
+
+
+def _fit_filters(model: ToxicityModel, ids: list[np.ndarray], labels: np.ndarray, train_on: np.ndarray, held: np.ndarray) -> None:
+    """Passes over the learning texts; what stays is the pass that does best on the held ones."""
     draw = np.random.default_rng(7)
     banks = len(WIDTHS)
     embedding = _Adam(draw.normal(0, 0.1, (len(model.rows) + 1, WIDTH_OF_EMBEDDING)).astype(np.float32), 0.02)
@@ -174,10 +180,13 @@ def _fit_filters(model: ToxicityModel, ids: list[np.ndarray], labels: np.ndarray
     constant = _Adam(np.array([-1.0], np.float32), 0.01)
     positive = max(1.0, float((labels[train_on] == 0).sum()) / max(1.0, float((labels[train_on] == 1).sum())))
     offsets = [(bank, offset) for bank, width in enumerate(WIDTHS) for offset in range(width)]
-    passes = EPOCHS if len(train_on) > 1000 else 4 * EPOCHS
+    passes = max(EPOCHS, _LEAST_STEPS * _BATCH // max(1, len(train_on)))
+    best_loss = np.inf
     for _ in range(passes):
         for batch in np.array_split(draw.permutation(train_on), max(1, len(train_on) // _BATCH)):
-            table_rows, inverse = np.unique(np.concatenate([ids[i] for i in batch]), return_inverse=True)
+            # some words are hidden, so that no text is learnt by heart
+            shown = {i: np.where(draw.random(len(ids[i])) < _HIDDEN, 0, ids[i]) for i in batch}
+            table_rows, inverse = np.unique(np.concatenate([shown[i] for i in batch]), return_inverse=True)
             responses = embedding.value[table_rows] @ kernel.value
             by_row = np.zeros_like(responses)
             gradients = [np.zeros_like(x.value) for x in (bias, weights, constant)]
@@ -210,8 +219,13 @@ def _fit_filters(model: ToxicityModel, ids: list[np.ndarray], labels: np.ndarray
                 embedding.value[0] = 0
             for part, gradient in zip((bias, weights, constant), gradients):
                 part.update(gradient)
-    model.filters = embedding.value @ kernel.value
-    model.bias, model.weights, model.constant = bias.value, weights.value, float(constant.value[0])
+        now = ToxicityModel(
+            model.rows, embedding.value @ kernel.value, bias.value.copy(), weights.value.copy(), float(constant.value[0])
+        )
+        loss = _loss(np.array([now.logit(ids[i]) for i in held]), labels[held], positive)
+        if loss < best_loss:
+            best_loss = loss
+            model.filters, model.bias, model.weights, model.constant = now.filters, now.bias, now.weights, now.constant
 
 
 def _fit_languages(model: ToxicityModel, ids: list[np.ndarray], languages: list[str]) -> None:

@@ -107,12 +107,12 @@ def fit(docs: DataFrame, text_col: str = "text", templates: list[tuple[str, str]
     truth = np.eye(len(families))[labels]
     held = np.arange(len(rows)) >= whole + (len(rows) - whole) * 4 // 5
     # each class weighs the same, however many rows it has
-    share = truth[~held] / np.maximum(truth[~held].sum(axis=0), 1)
-    weight = share.sum(axis=1, keepdims=True)
+    seen, wanted = table[~held], truth[~held]
+    weight = (wanted / np.maximum(wanted.sum(axis=0), 1)).sum(axis=1, keepdims=True)
     weights, bias = np.zeros((len(features), len(families))), np.zeros(len(families))
     for _ in range(_STEPS):
-        error = weight * (_softmax(table[~held] @ weights + bias) - truth[~held])
-        weights -= 2.0 * (table[~held].T @ error + 1e-4 * weights)
+        error = weight * (_softmax(seen @ weights + bias) - wanted)
+        weights -= 2.0 * (seen.T @ error + 1e-4 * weights)
         bias -= 2.0 * error.sum(axis=0)
     likely = _softmax(table @ weights + bias)[:, :-1]
     of_templates = likely[np.arange(whole), labels[:whole]].min()

@@ -30,6 +30,8 @@ EPOCHS = 12
 _BATCH = 64
 _LEAST_STEPS = 800
 _HIDDEN = 0.2
+# So many toxic texts at least set a threshold.
+_LEAST_TOXIC = 20
 _KNOWN_WORDS = 500_000
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -245,14 +247,13 @@ def _fit_thresholds(model: ToxicityModel, ids: list[np.ndarray], labels: np.ndar
     """
     logits = np.array([model.logit(text) for text in ids])
     found = np.array([model.language(text) for text in ids])
-    everywhere = best_cut(logits[held], labels[held])
-    if everywhere is None:
-        everywhere = best_cut(logits, labels)
+    enough = labels[held].sum() >= _LEAST_TOXIC
+    everywhere = best_cut(logits[held], labels[held]) if enough else best_cut(logits, labels)
     model.thresholds = np.full(model.by_language.shape[1], everywhere or 0.0)
     for language in range(len(model.thresholds)):
         own = found == language
         for rows in (own & held, own):
-            if labels[rows].sum() >= 20:
+            if labels[rows].sum() >= _LEAST_TOXIC:
                 model.thresholds[language] = best_cut(logits[rows], labels[rows])
                 break
 

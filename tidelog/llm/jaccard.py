@@ -73,17 +73,19 @@ class Grams:
         return np.unique(grams)
 
 
-def _packed(grams: np.ndarray, width: int) -> bytes:
+def bitmap(grams: np.ndarray) -> bytes:
+    """Bits of the quarter of all n-grams that a part of their hash selects.
+
+    What a set has in this quarter and another has not, it has not in common with it at all, so the bits bound
+    the overlap of whole sets. Half as many bits as the set is large, a power of two.
+    """
+    width = max(64, 1 << (len(grams) // 2).bit_length())
     bits = np.zeros(width, np.uint8)
-    bits[(grams & np.uint64(width - 1)).astype(np.int64)] = 1
+    chosen = grams[(grams >> np.uint64(40)) & np.uint64(3) == 0]
+    bits[(chosen & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits).tobytes()
 
 
-def bitmap_width(size: int) -> int:
-    """Bits for a set: the power of two that is at least twice its size."""
-    return max(64, 1 << int(2 * size - 1).bit_length())
-
-
 # --- tables of a fixed size, summed up over all tasks ---------------------------------
 
 
@@ -322,6 +324,8 @@ def near_groups(
     with a null id has no link and a null component_id; rows that repeat an id are in one
     component. An empty table gives no rows. Extra columns are not read. Ids are integers.
     """
+    if not 50 <= percent <= 100:
+        raise ValueError("percent is from 50 to 100: bitmaps are compared over twice the size at most")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     context = docs.sparkSession.sparkContext
     order = context.broadcast(gram_order(texts, words))  # ORDER_BUCKETS bytes
@@ -336,7 +340,7 @@ def near_groups(
                 digest = np.array([own.sum(), _mixed(own).sum()], np.uint64)
                 keys.append(digest.tobytes().hex())
                 beginnings.append(_beginning(own, order.value, percent).view(np.int64))
-                bitmaps.append(_packed(own, bitmap_width(len(own))) if len(own) else b"")
+                bitmaps.append(bitmap(own))
             arrays = [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.string())]
             arrays += [pa.array(beginnings, pa.list_(pa.int64())), pa.array(bitmaps, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, ["id", "size", "key", "beginning", "bitmap"])

@@ -50,6 +50,10 @@ class ChunkTokens:
         self._chunks: dict[str, bytes] = {}
         self._words: dict[str, bytes] = {}
         self._older_words: dict[str, bytes] = {}
+        model, alphabet = self._tokenizer.model, "thequickbrownfoxjumpsoverthelazydog"
+        whole = [token.id for token in model.tokenize(alphabet)]
+        # where small ASCII letters reach the model as they are, such a word needs nothing else
+        self._model = model if whole == self._tokenizer.encode(alphabet, add_special_tokens=False).ids else None
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit numbers."""
@@ -71,6 +75,9 @@ class ChunkTokens:
         for part in {part for group in parts for part in group if part not in self._words}:
             if part in self._older_words:
                 self._words[part] = self._older_words[part]
+            elif self._model and part.isascii() and part.isalpha() and part.islower():
+                ids = [token.id for token in self._model.tokenize(part)]
+                self._words[part] = np.array(ids, "<u4").tobytes()
             else:
                 new.append(part)
         for word, found in zip(new, self._tokenizer.encode_batch_fast(new, add_special_tokens=False)):

@@ -52,15 +52,17 @@ def test_all_ways_of_fan_out_agree(spark, topics, routes):
     for f, d in routes:
         grouped.setdefault(f, []).append(d)
     assert pairs(fan_out(frame, grouped)) == wanted
-    assert pairs(fan_out_table(frame, table)) == wanted
-    assert pairs(fan_out_table(frame, table, broadcast_bytes=0)) == wanted
+    with_nulls = table.union(spark.createDataFrame([(None, "x"), ("#", None), (None, None)], table.schema))
+    assert pairs(fan_out_table(frame, with_nulls)) == wanted
 
 
 def test_copies_are_routed_as_often_as_they_came(spark):
     frame = spark.createDataFrame([("a",)] * 3, "topic STRING")
     routes = spark.createDataFrame([("a", "x"), ("#", "x"), ("+", "y")], "filter STRING, destination STRING")
-    for limit in (1 << 20, 0):
-        assert pairs(fan_out_table(frame, routes, broadcast_bytes=limit)) == [("a", "x")] * 3 + [("a", "y")] * 3
+    routed = fan_out_table(frame, routes)
+    assert pairs(routed) == [("a", "x")] * 3 + [("a", "y")] * 3
+    nothing = spark.createDataFrame([("a", None), (None, "x")], routes.schema)
+    assert pairs(fan_out_table(frame, nothing)) == []
 
 
 @pytest.mark.parametrize("bad", ["a#", "#/a", "a+/b"])
@@ -71,20 +73,18 @@ def test_malformed_routes_are_refused(spark, bad):
         fan_out_table(frame, routes)
 
 
-def test_large_route_tables_work_in_a_stream(spark, path, messages):
-    log, out = path("log"), path("out")
+def test_route_tables_work_in_a_stream_and_its_batches(spark, path, messages):
+    log = path("log")
     land(messages([(1, "a/b", "x"), (2, "c", "y")]), log)
-    routes = spark.createDataFrame([("a/+", "left"), ("c", "right")], "filter STRING, destination STRING")
+    rows = [("a/+", "left"), ("#", "left"), ("c", "right"), ("c", None), (None, "right")]
+    routes = spark.createDataFrame(rows, "filter STRING, destination STRING")
     stream = subscribe(spark, {"path": log, "topic": "#"})
-    with pytest.raises(ValueError):
-        fan_out_table(stream, routes, broadcast_bytes=0)
-    publish_stream(
-        stream,
-        out,
-        path("position"),
-        transform=lambda batch: fan_out_table(batch, routes, broadcast_bytes=0).drop("source_topic"),
-    ).awaitTermination()
-    assert sorted((r["topic"], r["id"]) for r in read_log(spark, out).collect()) == [("left", 1), ("right", 2)]
+    within = {"transform": lambda batch: fan_out_table(batch, routes).drop("source_topic")}
+    for routed, options in ((fan_out_table(stream, routes).drop("source_topic"), {}), (stream, within)):
+        out = path("out")
+        publish_stream(routed, out, path("position"), **options).awaitTermination()
+        got = sorted((r["topic"], r["id"]) for r in read_log(spark, out).collect())
+        assert got == [("left", 1), ("left", 2), ("right", 2)]
 
 
 def test_fan_in_fills_what_a_source_lacks(spark):

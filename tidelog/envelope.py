@@ -127,16 +127,16 @@ class LogOptions:
             if key in given and field not in values:
                 values[field] = _converted(key, given[key], convert)
         by_field = {f.name: f for f in fields(cls)}
+        unknown = sorted(set(given) - set(_OPTION_NAMES) - set(_CONNECTION_OPTIONS) - set(by_field))
+        if unknown:
+            raise ValueError(f"unknown options: {', '.join(unknown)}")
         for field in by_field:
             if field in given and field not in values:
                 values[field] = given[field]
         if not values.get("path"):
             raise ValueError("the log's location is missing: set `path` (or `brokerUrl`)")
         if not values.get("topic"):
-            raise ValueError(
-                "a topic is required: a subscription to everything would also "
-                "bring the system's own messages"
-            )
+            raise ValueError("`topic` is missing")
         if values["path"].startswith(("tcp://", "ssl://", "ws://", "wss://")):
             raise ValueError(f"{values['path']!r} is a broker address; give the folder of a message log")
         return cls(**values)
@@ -167,6 +167,10 @@ def validate_messages(schema: T.StructType, topic: str | None) -> None:
     if set(types) <= {"topic", "qos"}:
         raise ValueError("nothing to publish: there is no column beside the topic and qos")
     if "payload" in types:
+        # where a message lay in the log it was read from is given anew
+        extra = sorted(set(types) - {"topic", "payload", "publisher", "batch_id"} - {field.name for field in LOG_ROW.fields})
+        if extra:
+            raise ValueError(f"beside `payload` only envelope columns can be published, not {', '.join(extra)}")
         expected = {field.name: field.dataType for field in LOG_ROW.fields}
         for name in ("id", "qos", "retained", "duplicate", "timestamp"):
             if name in types and not _fits(types[name], expected[name]):

@@ -12,6 +12,14 @@ from pyspark.sql import types as T
 from tidelog.envelope import LOG_ROW, validate_messages
 
 
+# NULLs are written, and times whole: the defaults leave out NULLs and microseconds.
+_JSON = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def as_text(payload: Column | str = "payload", *, strict: bool = False) -> Column:
     """The payload as a string; ``strict`` gives NULL where it is not UTF-8."""
     text = _column(payload).cast("string")
@@ -84,7 +92,8 @@ def encode(df: DataFrame, topic: str | None = None, qos: int | None = None) -> D
 
     A ``payload`` column is taken as it is, a single column is taken as text, and
     several columns become one JSON object, NULLs included, so that nothing is
-    lost. A ``topic`` or ``qos`` column in the data overrides the given value.
+    lost. Times keep their microseconds. A ``topic`` or ``qos`` column in the data overrides the given value.
+    What is not given is 1 for ``qos`` and false for ``retained`` and ``duplicate``.
     """
     validate_messages(df.schema, topic)
     names = df.columns
@@ -95,23 +104,26 @@ def encode(df: DataFrame, topic: str | None = None, qos: int | None = None) -> D
         only = df.schema[rest[0]].dataType
         value = F.col(_quoted(rest[0]))
         if isinstance(only, (T.StructType, T.ArrayType, T.MapType)):
-            value = F.to_json(value, {"ignoreNullFields": "false"})
+            value = F.to_json(value, _JSON)
         elif not isinstance(only, (T.StringType, T.BinaryType)):
             value = value.cast("string")
         payload = value.cast("binary")
     else:
         whole = F.struct(*[F.col(_quoted(name)) for name in rest])
-        payload = F.to_json(whole, {"ignoreNullFields": "false"}).cast("binary")
+        payload = F.to_json(whole, _JSON).cast("binary")
     columns = [
         (F.col("topic") if "topic" in names else F.lit(topic)).alias("topic"),
         payload.alias("payload"),
     ]
-    if "qos" in names or qos is not None:
-        columns.append((F.col("qos") if "qos" in names else F.lit(qos)).cast("int").alias("qos"))
-    if "payload" in names:
-        for field in LOG_ROW.fields:
-            if field.name in names and field.name in ("id", "timestamp", "retained", "duplicate"):
-                columns.append(F.col(field.name).cast(field.dataType).alias(field.name))
+    level = F.coalesce(F.col("qos"), F.lit(1)) if "qos" in names else F.lit(1 if qos is None else qos)
+    columns.append(level.cast("int").alias("qos"))
+    for field in LOG_ROW.fields:
+        given = "payload" in names and field.name in names
+        if field.name in ("retained", "duplicate"):
+            value = F.coalesce(F.col(field.name), F.lit(False)) if given else F.lit(False)
+            columns.append(value.alias(field.name))
+        elif given and field.name in ("id", "timestamp"):
+            columns.append(F.col(field.name).cast(field.dataType).alias(field.name))
     return df.select(*columns)
 
 

@@ -9,18 +9,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.envelope import ENVELOPE
 
-
-def dedupe_stream(messages: DataFrame, delay: str, salts: int = 16) -> DataFrame:
+def dedupe_stream(messages: DataFrame, delay: str, salts: int = 1) -> DataFrame:
     """One message for each set of copies that arrive within ``delay`` of each other.
 
     The copy kept is from the first micro-batch that holds one. State keeps a
-    digest in place of the payload. Copies are first reduced under a salt, the
+    digest in place of the payload. A message later than ``delay`` after the newest one seen is
+    discarded, copy or not: ``delay`` must cover how far publishers may be out of order.
+    With ``salts`` copies are first reduced by the
     task that read them, so that even a message that makes up a third of the
     stream passes through many tasks; at most ``salts`` of its copies meet in
-    the second, deciding step. The first step costs as much state again: where
-    no message is that frequent, ``salts=1`` leaves it out.
+    the second, deciding step. The first step costs as much state again.
     """
     keys = ["topic", "id", "__digest"]
     marked = messages.withColumn("__digest", F.unhex(F.sha2("payload", 256)))
@@ -35,11 +34,12 @@ def dedupe_stream(messages: DataFrame, delay: str, salts: int = 16) -> DataFrame
 def dedupe(messages: DataFrame) -> DataFrame:
     """First arrivals of a bounded frame, one row for each topic, id and payload.
 
-    The whole payload is the key and only the time is aggregated, which keeps
-    this a hash aggregate that folds copies together before the shuffle.
+    All columns of the first copy are kept, whichever the frame has. Copies are folded
+    together before the shuffle.
     """
-    return (
-        messages.groupBy("topic", "id", "payload")
-        .agg(F.min("timestamp").alias("timestamp"))
-        .select(*[field.name for field in ENVELOPE.fields])
-    )
+    keys = ["topic", "id", "payload"]
+    others = [name for name in messages.columns if name not in keys and name != "timestamp"]
+    first = F.min(F.struct("timestamp", *others)) if others else F.struct(F.min("timestamp").alias("timestamp"))
+    kept = messages.groupBy(*keys).agg(first.alias("__first"))
+    given = [F.col(name) if name in keys else F.col(f"__first.{name}").alias(name) for name in messages.columns]
+    return kept.select(*given)

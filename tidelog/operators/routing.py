@@ -12,8 +12,6 @@ from pyspark.sql import types as T
 from tidelog.functions.payload import from_payload
 from tidelog.functions.topics import check_filter, matches
 
-_BROADCAST_BYTES = 64 * 1024 * 1024
-
 
 def fan_in(*sources: DataFrame) -> DataFrame:
     """Several sources as one; columns that a source lacks are NULL there."""
@@ -41,23 +39,23 @@ def fan_out(messages: DataFrame, routes: Mapping[str, Sequence[str] | str]) -> D
     )
 
 
-def fan_out_table(messages: DataFrame, routes: DataFrame, broadcast_bytes: int = _BROADCAST_BYTES) -> DataFrame:
+def fan_out_table(messages: DataFrame, routes: DataFrame) -> DataFrame:
     """The same for a table ``(filter, destination)`` of any size.
 
     Filters differ in shape: how many levels they have and which of them are
     wildcards. For each shape in the table a topic has exactly one filter that
-    could match it, so routes are found by equality. A table whose bytes were
-    counted and are few is broadcast, and messages are not shuffled at all. A
-    larger one is matched against the distinct topics only, and the pairs found
-    are joined to the messages by topic, where adaptive execution splits hot
-    topics; a stream can do that in the ``transform`` of ``publish_stream``.
+    could match it, so routes are found by equality: the distinct topics are matched
+    with the table, and the pairs found are joined to the messages by topic in one join, which Spark
+    broadcasts where they are few and splits where a topic is hot. A stream, which cannot take its distinct
+    topics, is joined once for each shape instead, with the same result. Routes with a NULL filter
+    or destination are no routes.
     """
-    routes = routes.select(F.col("filter").alias("__filter"), "destination").distinct()
+    routes = routes.select(F.col("filter").alias("__filter"), "destination")
+    routes = routes.where("__filter IS NOT NULL AND destination IS NOT NULL").distinct()
     levels = F.split("__filter", "/")
     shape = F.transform(levels, lambda level: F.when(level.isin("+", "#"), level).otherwise("-"))
     shaped = routes.withColumn("__shape", F.concat_ws("/", shape))
     summary = shaped.groupBy("__shape").agg(
-        F.sum(F.octet_length("__filter") + F.octet_length("destination") + 64).alias("bytes"),
         F.count_if(F.exists(levels, lambda level: level.rlike("[+#]") & ~level.isin("+", "#"))).alias("bad"),
     ).collect()  # one row for each shape, however long the table is
     if any(row["bad"] for row in summary):
@@ -65,16 +63,15 @@ def fan_out_table(messages: DataFrame, routes: DataFrame, broadcast_bytes: int =
     shapes = sorted(row["__shape"] for row in summary)
     for each in shapes:
         check_filter(each)
-    if sum(row["bytes"] for row in summary) <= broadcast_bytes:
-        return _fan_out_by_broadcast(messages, shaped, shapes)
     if messages.isStreaming:
-        raise ValueError("the routes are too large to broadcast: call this in publish_stream's transform")
+        return _fan_out_by_shape(messages, shaped, shapes)
     return _fan_out_by_topic(messages, shaped, shapes)
 
 
-def _fan_out_by_broadcast(messages: DataFrame, shaped: DataFrame, shapes: list[str]) -> DataFrame:
+def _fan_out_by_shape(messages: DataFrame, shaped: DataFrame, shapes: list[str]) -> DataFrame:
     routed = messages
-    reached = []
+    none = F.array().cast("array<string>")
+    reached = [none]
     for number, each in enumerate(shapes):
         key, found = f"__key{number}", f"__found{number}"
         of_shape = (
@@ -82,10 +79,8 @@ def _fan_out_by_broadcast(messages: DataFrame, shaped: DataFrame, shapes: list[s
             .groupBy(F.col("__filter").alias(key))
             .agg(F.collect_set("destination").alias(found))
         )
-        routed = routed.withColumn(key, _filter_of_shape(each)).join(F.broadcast(of_shape), key, "left")
-        reached.append(F.coalesce(F.col(found), F.array().cast("array<string>")))
-    if not reached:
-        reached = [F.array().cast("array<string>")]
+        routed = routed.withColumn(key, _filter_of_shape(each)).join(of_shape, key, "left")
+        reached.append(F.coalesce(F.col(found), none))
     others = [name for name in messages.columns if name != "topic"]
     return routed.select(
         F.col("topic").alias("source_topic"),
@@ -95,7 +90,7 @@ def _fan_out_by_broadcast(messages: DataFrame, shaped: DataFrame, shapes: list[s
 
 
 def _fan_out_by_topic(messages: DataFrame, shaped: DataFrame, shapes: list[str]) -> DataFrame:
-    candidates = F.array_compact(F.array(*[_filter_of_shape(each) for each in shapes]))
+    candidates = F.array_compact(F.array(F.lit(None).cast("string"), *[_filter_of_shape(each) for each in shapes]))
     pairs = (
         messages.select("topic")
         .distinct()

@@ -76,8 +76,7 @@ sized AS (
            ORDER BY "offset" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM numbered
 ),
-bounds AS (SELECT {limit} AS most FROM sized),
-keyed AS (SELECT sized.*, {key} AS admission FROM sized CROSS JOIN bounds),
+keyed AS (SELECT *, {key} AS admission FROM (SELECT *, {limit} AS most FROM sized)),
 ranked AS (SELECT *, dense_rank() OVER (ORDER BY admission) - 1 AS batch_id FROM keyed)
 SELECT batch_id, count(*) AS messages, CAST(sum(size) AS BIGINT) AS bytes,
        min("timestamp") AS first_time, max("timestamp") AS last_time
@@ -112,11 +111,11 @@ SELECT id, least(qos, 1) AS qos, false AS retained, false AS duplicate FROM mess
     "offset_slices": f"""
 WITH {_NUMBERED}, total AS (SELECT count(*) AS n FROM numbered)
 SELECT id, "offset", "offset" * 8 // n AS slice FROM numbered, total""",
-    "batch_by_count": _limited('"offset" // most', "least((count(*) + 3) // 4, 1000000)"),
+    "batch_by_count": _limited('"offset" // most', "25000"),
     "batch_by_bytes": _limited(
         "2 * (before // most) + CASE WHEN (before + greatest(size - 1, 0)) // most > before // most"
         " THEN 1 ELSE 0 END",
-        "least((CAST(sum(size) AS BIGINT) + 3) // 4, 1073741824)",
+        "262144",
     ),
     "resume_after_restart": _ALL_EVENTS,
     "retention_window": f"{_ALL_EVENTS} WHERE (day(\"timestamp\") - 1) // 8 >= 2",

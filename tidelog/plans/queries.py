@@ -41,9 +41,9 @@ from tidelog.streaming.results import keep, newest_result
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_BATCHES = 4
-_MOST_MESSAGES = 1_000_000
-_MOST_BYTES = 1 << 30
+# Limits of one micro-batch in the queries that land under one.
+_MOST_MESSAGES = 25_000
+_MOST_BYTES = 256 << 10
 _SLICES = 8
 _CLEAN_START = "2024-01-16 00:00:00"
 
@@ -149,15 +149,12 @@ def offset_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def batch_by_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = event_messages(spark, sf_dir)
-    limit = min(-(-messages.count() // _BATCHES), _MOST_MESSAGES)
-    return _limited_batches(spark, messages, max_batch_messages=limit)
+    return _limited_batches(spark, messages, max_batch_messages=_MOST_MESSAGES)
 
 
 def batch_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = event_messages(spark, sf_dir)
-    total = messages.agg(F.sum(F.length("payload")).alias("bytes")).first()["bytes"]
-    limit = min(-(-total // _BATCHES), _MOST_BYTES)
-    return _limited_batches(spark, messages, max_batch_bytes=limit)
+    return _limited_batches(spark, messages, max_batch_bytes=_MOST_BYTES)
 
 
 def _limited_batches(spark: SparkSession, messages: DataFrame, **limit: int) -> DataFrame:
@@ -373,7 +370,7 @@ def _redelivered(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dedupe_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = scratch_path(spark, "redelivered")
     messages = _redelivered(spark, sf_dir)
-    land(messages, log, max_batch_messages=min(-(-messages.count() // 2), _MOST_MESSAGES))
+    land(messages, log, max_batch_messages=2 * _MOST_MESSAGES)
     stream = subscribe(spark, LogOptions(log, "events/#", max_files_per_trigger=1))
     once = dedupe.dedupe_stream(stream, "1 hour")
     # Which copy of one micro-batch is kept is open, and so is its time.
@@ -426,7 +423,7 @@ def route_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 def route_fanout_by_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     routes = _routes(spark)
     log = read_log(spark, landed(spark, sf_dir, "all"))
-    return routing.fan_out_table(log, routes, broadcast_bytes=0).select("topic", "id", _md5())
+    return routing.fan_out_table(log, routes).select("topic", "id", _md5())
 
 
 def route_fanout_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:

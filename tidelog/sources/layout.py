@@ -5,11 +5,17 @@ Only folder and file names pass through the driver here, never messages.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 
+_CALLS_AT_ONCE = 16
 STAGING = "_staging"
-_DONE = "_SUCCESS"
+_DONE = "_COMPLETE"  # our own: Hadoop's marker may be turned off
+_OLD_DONE = "_SUCCESS"
 _LAST_OFFSET = "_last_offset."  # its number follows in the file's name
+_MOST_MESSAGES = "_most_messages."
+_LAYOUT = "_partitioned_by."  # in the log's own folder, with the columns
 
 
 class LogFolder:
@@ -49,24 +55,57 @@ class LogFolder:
         return paths
 
     def is_complete(self, publisher: str, batch_id: int) -> bool:
-        return self._fs.exists(self._path(f"{self.batch_path(publisher, batch_id)}/{_DONE}"))
+        batch = self.batch_path(publisher, batch_id)
+        return any(self._fs.exists(self._path(f"{batch}/{name}")) for name in (_DONE, _OLD_DONE))
 
     def mark_last_offset(self, staged: str, offset: int) -> None:
         self._fs.create(self._path(f"{staged}/{_LAST_OFFSET}{offset}")).close()
 
+    def mark_limit(self, staged: str, most_messages: int) -> None:
+        self._fs.create(self._path(f"{staged}/{_MOST_MESSAGES}{most_messages}")).close()
+
+    def check_limit(self, most_messages: int) -> None:
+        """The newest batch of each publisher must hold no file with more messages."""
+        for newest in self.newest_batches():
+            marks = self._marks(newest, _MOST_MESSAGES)
+            if not marks or max(marks) > most_messages:
+                raise ValueError(
+                    f"{newest} was not landed in batches of at most {most_messages} messages: "
+                    "land it with max_batch_messages, or read it without maxBatchMessageNum"
+                )
+
+    def check_numbered(self) -> None:
+        """Offsets mean something only where every publisher's messages are numbered."""
+        for newest in self.newest_batches():
+            if not self._marks(newest, _LAST_OFFSET):
+                raise ValueError(f"{newest} has no offsets: land the messages, or publish with number=True")
+
+    def fix_layout(self, partition_by: list[str]) -> None:
+        """The first batch of a log decides its partition columns; another layout is refused."""
+        layout = ",".join(partition_by)
+        self.create()
+        names = [status.getPath().getName() for status in self._fs.listStatus(self._path(self.path))]
+        fixed = [name[len(_LAYOUT):] for name in names if name.startswith(_LAYOUT)]
+        if not fixed:
+            self._fs.create(self._path(f"{self.path}/{_LAYOUT}{layout}")).close()
+        elif layout not in fixed:
+            raise ValueError(f"{self.path} is partitioned by {fixed[0] or 'nothing'}, this batch by {layout or 'nothing'}")
+
+    def ends_by(self, batch: str, offset: int) -> bool:
+        marks = self._marks(batch, _LAST_OFFSET)
+        return bool(marks) and max(marks) <= offset
+
+    def _marks(self, batch: str, mark: str) -> list[int]:
+        names = [status.getPath().getName() for status in self._fs.listStatus(self._path(batch))]
+        return [int(name[len(mark):]) for name in names if name.startswith(mark)]
+
     def last_offset(self) -> int:
         """The highest offset in the log, -1 before the first numbered message.
 
         Offsets grow from batch to batch, so the names in the newest folder of
         each publisher tell it, without a look into any file.
         """
-        top = -1
-        for newest in self.newest_batches():
-            for status in self._fs.listStatus(self._path(newest)):
-                name = status.getPath().getName()
-                if name.startswith(_LAST_OFFSET):
-                    top = max(top, int(name[len(_LAST_OFFSET):]))
-        return top
+        return max([-1, *(offset for newest in self.newest_batches() for offset in self._marks(newest, _LAST_OFFSET))])
 
     def commit(self, staged: str, publisher: str, batch_id: int) -> None:
         """Show a staged batch to readers by renaming its folder into place."""
@@ -74,6 +113,7 @@ class LogFolder:
         self._fs.mkdirs(target.getParent())
         if self.is_complete(publisher, batch_id):
             raise RuntimeError(f"batch {batch_id} of {publisher} was written to {self.path} by another job")
+        self._fs.create(self._path(f"{staged}/{_DONE}")).close()
         if self._fs.exists(target):  # a rename that an unfit file system broke off
             self._fs.delete(target, True)
         if not self._fs.rename(self._path(staged), target):
@@ -90,7 +130,8 @@ class LogFolder:
         """
         keys = sorted(int(value) for value in self._values(staged, column))
         width = len(str(keys[-1])) if keys else 1
-        for position, key in enumerate(keys):
+
+        def lift(position: int, key: int) -> None:
             folder = self._path(f"{staged}/{column}={key}")
             for status in self._fs.listStatus(folder):
                 name = status.getPath().getName()
@@ -99,6 +140,9 @@ class LogFolder:
                 self._fs.setTimes(target, started_ms + position, -1)
             self._fs.delete(folder, True)
 
+        with ThreadPoolExecutor(_CALLS_AT_ONCE) as pool:  # the storage, not the driver, is waited for
+            list(pool.map(lift, range(len(keys)), keys))
+
     def discard(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
 
@@ -111,14 +155,23 @@ class LogFolder:
         return sorted(name[len(prefix):] for name in names if name.startswith(prefix))
 
 
-def expire(spark: SparkSession, log: str, retain_batches: int, publisher: str | None = None) -> list[str]:
-    """Delete whole batches, all but the last ``retain_batches`` of each publisher, or of one."""
+def expire(
+    spark: SparkSession, log: str, retain_batches: int, publisher: str | None = None, consumed: int | None = None
+) -> list[str]:
+    """Delete whole batches, all but the last ``retain_batches`` of each publisher, or of one.
+
+    ``consumed`` is the offset that the slowest reader has reached; a batch with a message
+    beyond it, or without offsets, then stays. Without it unread messages may go.
+    """
     if retain_batches < 1:
         raise ValueError("at least one batch must be retained")
     folder = LogFolder(spark, log)
     gone = []
     for name in [publisher] if publisher else folder.publishers():
         for batch_id in folder.batches(name)[:-retain_batches]:
-            gone.append(folder.batch_path(name, batch_id))
-            folder.discard(gone[-1])
+            batch = folder.batch_path(name, batch_id)
+            if consumed is not None and not folder.ends_by(batch, consumed):
+                continue
+            gone.append(batch)
+            folder.discard(batch)
     return gone

@@ -13,19 +13,31 @@ from tidelog.envelope import ENVELOPE, LOG_SCHEMA, METADATA, LogOptions
 from tidelog.functions.topics import matches
 from tidelog.sources.layout import LogFolder
 
+# The file stream would leave out files this much older than the newest it has seen.
+_ANY_AGE = "36500d"
+
 
 def subscribe(spark: SparkSession, options: LogOptions | Mapping[str, Any]) -> DataFrame:
     """A stream of the messages under one topic filter.
 
     The position lives in the checkpoint of the query that uses the stream, so
-    any number of subscriptions may share a log and a session. A batch limit by
+    any number of subscriptions may share a log and a session. Files are read
+    whatever their date. A batch limit by
     count makes each micro-batch one landed file, which ``append_batch`` kept
-    within the limit; a limit by bytes alone is applied by the file stream,
-    file by file.
+    within the limit, so the log must have been landed under such a limit and
+    ``maxFilesPerTrigger`` cannot go with it; a limit by bytes alone is applied by
+    the file stream, file by file.
     """
     chosen = LogOptions.of(options)
-    LogFolder(spark, chosen.path).create()
-    reader = spark.readStream.schema(LOG_SCHEMA)
+    folder = LogFolder(spark, chosen.path)
+    folder.create()
+    if chosen.max_batch_messages and (chosen.max_files_per_trigger or 1) > 1:
+        raise ValueError("maxBatchMessageNum takes one file for each batch: leave maxFilesPerTrigger out")
+    if chosen.max_batch_messages:
+        folder.check_limit(chosen.max_batch_messages)
+    if chosen.max_batch_bytes and chosen.max_files_per_trigger:
+        raise ValueError("give maxBatchMessageSize or maxFilesPerTrigger, not both")
+    reader = spark.readStream.schema(LOG_SCHEMA).option("maxFileAge", _ANY_AGE)
     if chosen.max_batch_messages:
         reader = reader.option("maxFilesPerTrigger", 1)
     elif chosen.max_files_per_trigger:
@@ -51,10 +63,14 @@ def read_log(spark: SparkSession, log: str) -> DataFrame:
 
 
 def read_slice(spark: SparkSession, log: str, end: int, start: int | None = None) -> DataFrame:
-    """Messages with ``start < offset <= end``; no start means from the beginning."""
+    """Messages with ``start < offset <= end``; no start means from the beginning.
+
+    The log must have numbered messages, or none at all.
+    """
     after = -1 if start is None else start
     if end < after:
         raise ValueError(f"the slice ends at {end}, before its start {after}")
+    LogFolder(spark, log).check_numbered()
     return read_log(spark, log).where((F.col("offset") > after) & (F.col("offset") <= end))
 
 

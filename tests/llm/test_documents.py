@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tidelog.llm import (
     content_sort, fingerprints, jaccard, language_id, licenses, mixing, packing, sharding, toxicity,
 )
+from tidelog.llm.queries import edited_end as edit  # workers can import it, unlike a function of a test
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 TOKENIZER = str(public_tokenizers.path("word_bpe_49k.json"))
@@ -328,11 +329,6 @@ def test_license_notices(spark, odd):
 # --- fingerprints -------------------------------------------------------------------
 
 
-def edit(text, following):
-    end = len(text) // 4
-    return text[: len(text) - end] + following[:end]
-
-
 def test_fingerprints_of_neighbours(spark):
     draw = random.Random(4)
     words = [f"w{n}" for n in range(500)]

@@ -299,6 +299,21 @@ def test_toxic_documents_are_found(marked, odd):
     assert toxicity.drop_toxic(odd, model).columns == odd.columns
 
 
+def test_thresholds_follow_the_share_of_toxic_texts(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_ROWS", {1: 400, 0: 800})
+    draw = random.Random(5)
+    plain = lambda: [f"word{draw.randrange(200)}" for _ in range(12)]
+    rows = [(n, " ".join([*plain(), "vile" if n % 2 else "grim", *plain()]), 1) for n in range(400)]
+    # in 1 of 10 clean texts: twice as often as in toxic ones over all, but not in the sample
+    rows += [(n, " ".join([*plain(), *(["grim"] if n % 10 == 0 else []), *plain()]), 0) for n in range(400, 8400)]
+    docs = spark.createDataFrame([(n, text, "en") for n, text, _ in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(n, label) for n, _, label in rows], "doc_id long, toxic int")
+    found = toxicity.score(docs, toxicity.fit(docs, labels, F.lit(True))).collect()
+    words = {n: text for n, text, _ in rows}
+    share = lambda word: np.mean([row["predicted"] for row in found if word in words[row["doc_id"]].split()])
+    assert share("vile") > 0.95 and share("grim") < 0.1
+
+
 def test_language(marked, odd):
     docs, _ = marked
     model = language_id.fit(docs, F.col("doc_id") % 3 != 1)

@@ -6,7 +6,8 @@ maximum over the whole text, and a logistic layer gives the score. It is trained
 on a bounded sample of labelled texts, gathered as hashes. The model also knows
 from its learning texts how often each word comes up in each language; the language it
 finds in the words of a text, no column, selects the threshold, and the score is shifted so that
-the threshold is 0.5.
+the threshold is 0.5. Thresholds are set on all labelled texts that the filters were not fitted on,
+counted by Spark, with each class weighing what it has among all labelled texts.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ _LEAST_STEPS = 800
 _HIDDEN = 0.2
 # So many toxic texts at least set a threshold.
 _LEAST_TOXIC = 20
+# Logits are counted in bins of equal width of their inverse hyperbolic sine.
+_BINS = 256
 _KNOWN_WORDS = 500_000
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -90,11 +93,15 @@ def pool(columns: list[np.ndarray], words: int) -> tuple[np.ndarray, np.ndarray]
     return best, where
 
 
-def sample(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """At most SAMPLE_ROWS labelled documents of each class, drawn by a hash of the id."""
-    marked = labels.where(usable & F.col("label").isin(0, 1)).groupBy(id_col).agg(F.max("label").alias("label"))
+def marked(labels: DataFrame, usable: Column, id_col: str) -> DataFrame:
+    """The label of each usable id."""
+    return labels.where(usable & F.col("label").isin(0, 1)).groupBy(id_col).agg(F.max("label").cast("int").alias("label"))
+
+
+def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """At most SAMPLE_ROWS documents of each class of ``marked`` labels, drawn by a hash of the id."""
     drawn = [
-        marked.where(F.col("label") == value).orderBy(F.xxhash64(id_col, F.lit("draw")), id_col).limit(most)
+        labels.where(F.col("label") == value).orderBy(F.xxhash64(id_col, F.lit("draw")), id_col).limit(most)
         for value, most in SAMPLE_ROWS.items()
     ]
     chosen = F.broadcast(drawn[0].union(drawn[1]))  # bounded by SAMPLE_ROWS
@@ -108,11 +115,12 @@ def fit(
 ) -> ToxicityModel:
     """Train on labelled documents where ``usable``, a condition on the id, holds.
 
-    The driver gets word hashes of at most SAMPLE_ROWS texts. Of rows that repeat an id in
+    The driver gets word hashes of at most SAMPLE_ROWS texts, and counts of the scores of all
+    labelled documents, by which the thresholds are set. Of rows that repeat an id in
     ``labels`` the larger label counts; null labels and other values than 0 and 1 are
     left out. Without labelled documents of both classes the model scores 0.
     """
-    labels = labels.select(F.col(id_col), F.col(label_col).alias("label"))
+    labels = marked(labels.select(F.col(id_col), F.col(label_col).alias("label")), usable, id_col)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -122,19 +130,54 @@ def fit(
                 ["draw", "label", "lang", "words"],
             )
 
-    known = sample(docs, labels, usable, id_col, text_col, lang_col)
-    drawn = known.select(F.xxhash64(id_col).alias("draw"), F.col("label").cast("int"), "lang", "text")
+    known = sample(docs, labels, id_col, text_col, lang_col)
+    drawn = known.select(F.xxhash64(id_col).alias("draw"), "label", "lang", "text")
     rows = drawn.mapInArrow(hashed, "draw long, label int, lang string, words binary").collect()
     rows.sort(key=lambda row: (row["draw"], bytes(row["words"])))  # the same order, and model, in each run
-    return train(
+    held = np.arange(len(rows)) % 5 == 4
+    model = train(
         [np.frombuffer(bytes(row["words"]), "<u4") for row in rows],
         np.array([row["label"] for row in rows], np.float32),
         [row["lang"] or "" for row in rows],
+        held,
     )
+    if model.filters is not None:
+        learnt = {row["draw"] for row, out in zip(rows, held) if not out}
+        _fit_thresholds(model, *_counted(docs.where(usable), labels, model, learnt, id_col, text_col))
+    return model
+
+
+def _counted(
+    docs: DataFrame, labels: DataFrame, model: ToxicityModel, learnt: set[int], id_col: str, text_col: str
+) -> list[np.ndarray]:
+    """How many labelled documents there are by language found, logit, label and whether they were learnt from.
+
+    Texts are scored where they are read, so that only ids meet their labels; ``learnt`` are
+    hashes of ids. One row comes back for each bin of logits in use, at most.
+    """
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(model)
+    read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    id_type = read.schema["id"].dataType.simpleString()
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, rows = shared.value, _Scorer(shared.value)
+        for batch in batches:
+            texts = [rows.ids(text.as_py() or "") for text in batch.column("text")]
+            found = pa.array([model.language(text) for text in texts], pa.int32())
+            bins = pa.array([round(float(np.arcsinh(model.logit(text))) * _BINS) for text in texts], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), found, bins], ["id", "found", "bin"])
+
+    scored = read.mapInArrow(placed, f"id {id_type}, found int, bin int").withColumnRenamed("id", id_col)
+    seen = spark.createDataFrame([(draw, True) for draw in sorted(learnt)], "draw long, learnt boolean")
+    known = scored.join(labels, id_col).withColumn("draw", F.xxhash64(id_col)).join(F.broadcast(seen), "draw", "left")
+    rows = known.groupBy("found", "bin", "label", F.coalesce("learnt", F.lit(False)).alias("learnt")).count().collect()
+    columns = np.array([tuple(row) for row in rows], np.int64).reshape(-1, 5).T
+    return [columns[0], np.sinh(columns[1] / _BINS), columns[2], columns[3] == 1, columns[4]]
 
 
-def train(texts: list[np.ndarray], labels: np.ndarray, languages: list[str]) -> ToxicityModel:
-    """The model of texts given as word hashes. A fifth of them only chooses the pass and sets the thresholds."""
+def train(texts: list[np.ndarray], labels: np.ndarray, languages: list[str], held: np.ndarray) -> ToxicityModel:
+    """The model, without thresholds, of texts given as word hashes. The ``held`` ones only choose the pass."""
     model = ToxicityModel()
     if len(set(labels.tolist())) < 2:
         return model
@@ -144,10 +187,8 @@ def train(texts: list[np.ndarray], labels: np.ndarray, languages: list[str]) ->
     frequent = frequent[in_texts[np.searchsorted(seen, frequent)] >= least]
     model.rows = {int(word): row for row, word in enumerate(frequent, 1)}
     ids = [model.ids(text.tolist()) for text in texts]
-    held = np.arange(len(texts)) % 5 == 4
     _fit_filters(model, ids, labels, np.flatnonzero(~held), np.flatnonzero(held))
     _fit_languages(model, ids, languages)
-    _fit_thresholds(model, ids, labels, held)
     return model
 
 
@@ -239,32 +280,41 @@ def _fit_languages(model: ToxicityModel, ids: list[np.ndarray], languages: list[
     model.by_language = np.log(counts / counts.sum(axis=0)).astype(np.float32)
 
 
-def _fit_thresholds(model: ToxicityModel, ids: list[np.ndarray], labels: np.ndarray, held: np.ndarray) -> None:
-    """For each language found, the middle of the gap where F1 over the held texts is best.
+def _fit_thresholds(
+    model: ToxicityModel, found: np.ndarray, logits: np.ndarray, labels: np.ndarray, learnt: np.ndarray, counts: np.ndarray
+) -> None:
+    """For each language found, the middle of the gap where F1 over the texts not learnt from is best.
 
-    A language with few toxic texts among them uses all its texts, one with fewer still the
-    threshold of all.
+    Each row stands for ``counts`` texts. Those not learnt from stand for all of their class,
+    since a class that was sampled in part has left more of them than another. A language with few
+    toxic texts among them uses all its texts, one with fewer still the threshold of all.
     """
-    logits = np.array([model.logit(text) for text in ids])
-    found = np.array([model.language(text) for text in ids])
-    enough = labels[held].sum() >= _LEAST_TOXIC
-    everywhere = best_cut(logits[held], labels[held]) if enough else best_cut(logits, labels)
-    model.thresholds = np.full(model.by_language.shape[1], everywhere or 0.0)
-    for language in range(len(model.thresholds)):
-        own = found == language
-        for rows in (own & held, own):
-            if labels[rows].sum() >= _LEAST_TOXIC:
-                model.thresholds[language] = best_cut(logits[rows], labels[rows])
-                break
-
-
-def best_cut(logits: np.ndarray, labels: np.ndarray) -> float | None:
-    """The logit between two texts at which F1 is best; None without toxic texts."""
+    held = ~learnt
+    weights = counts.astype(np.float64)
+    for label in (0, 1):
+        own = labels == label
+        weights[own & held] *= counts[own].sum() / max(1, counts[own & held].sum())
+
+    def cut(rows: np.ndarray) -> float | None:
+        for chosen, weighing in ((rows & held, weights), (rows, counts)):
+            if (counts * labels)[chosen].sum() >= _LEAST_TOXIC:
+                return best_cut(logits[chosen], labels[chosen], weighing[chosen])
+        return None
+
+    everywhere = cut(np.full(len(counts), True))
+    if everywhere is None:
+        everywhere = best_cut(logits, labels, counts)
+    by_language = [cut(found == language) for language in range(model.by_language.shape[1])]
+    model.thresholds = np.array([(everywhere or 0.0) if own is None else own for own in by_language])
+
+
+def best_cut(logits: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> float | None:
+    """The logit between two texts at which F1 of the weighted texts is best; None without toxic texts."""
     if not labels.sum():
         return None
     order = np.argsort(-logits, kind="stable")
-    hits = np.cumsum(labels[order])
-    f1 = 2 * hits / (np.arange(1, len(order) + 1) + labels.sum())
+    hits = np.cumsum((weights * labels)[order])
+    f1 = 2 * hits / (np.cumsum(weights[order]) + hits[-1])
     ordered = logits[order]
     f1[:-1][ordered[:-1] == ordered[1:]] = -1  # no cut between equal scores
     cut = int(f1.argmax())
@@ -314,9 +364,9 @@ class _Scorer:
         self._rows: dict[str, int] = {}
 
     def __call__(self, texts: pa.Array) -> np.ndarray:
-        return np.array([self._model.score(self._ids(text.as_py() or "")) for text in texts], np.float64)
+        return np.array([self._model.score(self.ids(text.as_py() or "")) for text in texts], np.float64)
 
-    def _ids(self, text: str) -> np.ndarray:
+    def ids(self, text: str) -> np.ndarray:
         words = _WORDS.findall(text.lower())
         if len(self._rows) > _KNOWN_WORDS:
             self._rows.clear()

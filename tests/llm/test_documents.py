@@ -341,6 +341,22 @@ def test_license_notices(spark, odd):
     assert licenses.scan(odd, model).count() == 0
 
 
+WRAPPED = [
+    ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal"),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or"),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation; either version 2 of the License, or"),
+    ("BSD", "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:"),
+]
+
+
+def test_wrapped_license_notices(spark):
+    plain = [f"some ordinary words about {n} things and the work of others" for n in range(60)]
+    texts = [(n, f"{plain[n]}\n{notice}\n{plain[n + 7]}") for n, (_, notice) in enumerate(WRAPPED)]
+    docs = spark.createDataFrame(texts + [(100 + n, x) for n, x in enumerate(plain)], "doc_id long, text string")
+    found = {(row["doc_id"], row["paragraph"], row["family"], row["confirmed"], row["line"]) for row in licenses.scan(docs, licenses.fit(docs)).collect()}
+    assert found == {(n, 1, family, True, notice) for n, (family, notice) in enumerate(WRAPPED)}
+
+
 # --- fingerprints -------------------------------------------------------------------
 
 

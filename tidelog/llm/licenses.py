@@ -3,7 +3,8 @@
 Features are the word 1- and 2-grams of the templates that are rare elsewhere. A softmax regression over the license
 families and an unknown class is fitted on the templates, parts of them and a bounded sample
 of paragraphs of the corpus. It is fitted at the driver; paragraphs of the corpus are scored by
-DataFrame functions alone, without a shuffle.
+DataFrame functions alone. Neighbouring lines are scored together as well, for notices that are
+wrapped; only what may be a notice is shuffled, to choose among overlapping ones.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ TEMPLATES = [
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License"),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("GPL-2.0", "you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation"),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License"),
     ("LGPL", "This library is licensed under the GNU Lesser General Public License."),
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("BSD", "Released under the BSD License."),
@@ -72,7 +74,7 @@ class LicenseModel:
 def fit(docs: DataFrame, text_col: str = "text", templates: list[tuple[str, str]] = TEMPLATES) -> LicenseModel:
     """Fit on the templates and at most SAMPLE_PARAGRAPHS different paragraphs of ``docs`` as unknown.
 
-    The sample is drawn by a hash, from paragraphs without most of a template's words; the threshold
+    The sample is drawn by a hash, from paragraphs without most of a template's words and not mostly of its pairs; the threshold
     lies between the most probable of a held fifth of them and the least probable template.
     """
     spark = docs.sparkSession
@@ -85,7 +87,10 @@ def fit(docs: DataFrame, text_col: str = "text", templates: list[tuple[str, str]
     drawn = lines.select("draw").distinct().orderBy("draw").limit(SAMPLE_PARAGRAPHS)
     chosen = lines.join(F.broadcast(drawn), "draw").dropDuplicates(["draw"])
     likeness = F.array_max(F.array(*[_containment(F.col("words"), words) for _, words in known]))
-    others = chosen.select("draw", words_of(F.col("line")).alias("words")).where(likeness < 0.5)
+    # nor is a line unknown that is a part of a wrapped notice
+    pairs = F.filter(grams_of(F.col("words")), lambda gram: F.contains(gram, F.lit(" ")))
+    of_notices = F.size(F.array_intersect(pairs, _words([gram for gram in grams if " " in gram])))
+    others = chosen.select("draw", words_of(F.col("line")).alias("words")).where((likeness < 0.5) & ((of_notices == 0) | (2 * of_notices < F.size(pairs))))
     sample = sorted(others.select("draw", _features(F.col("words"), grams).alias("found")).collect(), key=lambda row: row["draw"])
     elsewhere = Counter(gram for row in sample for gram in row["found"])
     rare = _MOST_ELSEWHERE * len(sample)
@@ -126,19 +131,18 @@ def scan(
     docs: DataFrame, model: LicenseModel, id_col: str = "doc_id", text_col: str = "text",
     templates: list[tuple[str, str]] = TEMPLATES,
 ) -> DataFrame:
-    """One row for each paragraph that is a license notice: id, paragraph, family, score, match, confirmed, line.
+    """One row for each license notice: id, paragraph, family, score, match, confirmed, line.
 
-    ``paragraph`` counts lines from 0, ``score`` is the probability of the family, at least the model's
+    A notice is a line, or neighbouring lines that are confirmed together: of overlapping ones the
+    one with most pairs of words of a template, then the shortest. A line without words ends a
+    notice. ``paragraph`` counts lines from 0 and is the first of the notice, ``score`` is the probability of the family, at least the model's
     threshold; ``match`` is the largest share of the words of one of the family's templates that the
     paragraph has, ``confirmed`` if that is CONFIRMED_AT or more. Texts that are null or blank give
     no rows, rows that repeat an id one each. Extra columns are not read.
     """
-    text = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")
-    lines = docs.select(F.col(id_col).alias("id"), F.posexplode(text).alias("paragraph", "line"))
-    # a paragraph without a feature is unknown; only the others need more than a look at their words
-    able = lines.where(F.arrays_overlap(words_of(F.col("line")), _words(model.anchors)))
-    # exploding an array of one keeps Spark from making the value anew for each use
-    worded = able.withColumn("words", F.explode(F.array(words_of(F.col("line")))))
+    known = docs.sparkSession.createDataFrame(templates, "family string, line string")
+    named = [(row["family"], [word for word in row["words"] if word]) for row in known.select("family", words_of(F.col("line")).alias("words")).collect()]
+    worded = _candidates(docs, model.anchors, [words for _, words in named], id_col, text_col)
     found = worded.withColumn("found", F.explode(F.array(_features(F.col("words"), model.features))))
     # constants: one row of weights for each of the few features of the templates, one after the other
     table, width = _numbers(model.weights.ravel()), len(model.families)
@@ -151,17 +155,60 @@ def scan(
         (F.col("place") < len(model.families)) & (F.col("score") >= model.threshold)
     )
     family = F.element_at(_words(model.families), F.col("place"))
-    known = docs.sparkSession.createDataFrame(templates, "family string, line string")
-    words = {}
-    for row in known.select("family", words_of(F.col("line")).alias("words")).collect():
-        words.setdefault(row["family"], []).append(row["words"])
+    own = {name: [words for other, words in named if other == name] for name, _ in named}
     match = F.coalesce(*[
-        F.when(F.col("family") == name, F.greatest(*(own * 2)))
-        for name, own in ((name, [_containment(F.col("words"), one) for one in many]) for name, many in words.items())
+        F.when(F.col("family") == name, F.greatest(*([_containment(F.col("words"), one) for one in many] * 2))) for name, many in own.items()
     ])
-    return scored.withColumn("family", family).withColumn("match", match).select(
-        F.col("id").alias(id_col), "paragraph", "family", "score", "match",
-        (F.col("match") >= CONFIRMED_AT).alias("confirmed"), "line",
+    pairs = F.coalesce(*[
+        F.when(F.col("family") == name, F.greatest(*([_pairs_held(F.col("words"), one) for one in many] * 2))) for name, many in own.items()
+    ])
+    judged = scored.withColumn("family", family).withColumn("match", match).withColumn("confirmed", F.col("match") >= CONFIRMED_AT)
+    judged = judged.where((F.col("lines") == 1) | F.col("confirmed"))
+    # the best first; a line that is not confirmed stays where no confirmed notice has it
+    ranked = judged.select("row", "id", F.struct(
+        (~F.col("confirmed")).alias("doubtful"), (-pairs).alias("rank"), "lines", "paragraph", "family", "score", "match", "confirmed", "line",
+    ).alias("notice"))
+    gathered = ranked.groupBy("row").agg(F.first("id").alias("id"), F.array_sort(F.collect_list("notice")).alias("notices"))
+    apart = lambda a, b: (a["paragraph"] + a["lines"] <= b["paragraph"]) | (b["paragraph"] + b["lines"] <= a["paragraph"])
+    chosen = F.aggregate(
+        "notices", F.slice("notices", 1, 0),
+        lambda kept, one: F.when(F.forall(kept, lambda other: apart(one, other)), F.concat(kept, F.array(one))).otherwise(kept),
+    )
+    return gathered.select("id", F.explode(chosen).alias("notice")).select(F.col("id").alias(id_col), "notice.*").select(
+        id_col, "paragraph", "family", "score", "match", "confirmed", "line"
+    )
+
+
+def _candidates(docs: DataFrame, anchors: list[str], templates: list[list[str]], id_col: str, text_col: str) -> DataFrame:
+    """Lines with an anchor, and runs of neighbouring lines that a wrapped template may take up.
+
+    Between the first and the last line of a run there are no more words than in the longest template.
+    """
+    longest = max(len(words) for words in templates)
+    vocabulary = sorted({word for words in templates for word in words})
+    split = docs.select(
+        F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"), F.split(F.coalesce(F.col(text_col), F.lit("")), "\n").alias("texts")
+    )
+    # exploding an array of one keeps Spark from making the value anew for each use
+    own = F.transform("texts", lambda line: F.filter(words_of(line), lambda word: word != ""))
+    worded = split.withColumn("own", F.explode(F.array(own)))
+    marked = worded.withColumn("able", F.explode(F.array(F.transform("own", lambda words: F.arrays_overlap(words, _words(anchors))))))
+    # a paragraph without a feature is unknown; only the others need more than a look at their words
+    some = marked.where(F.exists("able", lambda able: able))
+    near = F.filter(F.sequence(F.lit(1), F.size("able")), lambda at: F.exists(F.slice("able", at, longest + 2), lambda able: able))
+    started = some.withColumn("ahead", F.explode(F.transform(near, lambda at: F.struct(
+        at.alias("at"), F.slice("own", at, longest + 2).alias("own"), F.slice("texts", at, longest + 2).alias("texts"),
+    )))).select("id", "row", "ahead.*")
+    blank = F.array_position(F.transform("own", lambda words: F.size(words) == 0), F.lit(True))
+    upto = F.when(blank > 0, blank - 1).otherwise(F.size("own")).cast("int")
+    inside = F.flatten(F.slice("own", 2, F.greatest(F.col("lines") - 2, F.lit(0))))
+    ends = lambda place: F.arrays_overlap(F.element_at("own", place), _words(vocabulary))
+    runs = started.withColumn("upto", upto).where("upto > 0").withColumn("lines", F.explode(F.sequence(F.lit(1), F.col("upto"))))
+    runs = runs.where((F.col("lines") == 1) | (ends(F.lit(1)) & ends(F.col("lines")) & (F.size(inside) <= longest)))
+    joined = runs.withColumn("words", F.explode(F.array(F.flatten(F.slice("own", F.lit(1), F.col("lines"))))))
+    return joined.where(F.arrays_overlap("words", _words(anchors))).select(
+        "id", "row", (F.col("at") - 1).alias("paragraph"), "lines", "words",
+        F.array_join(F.slice("texts", F.lit(1), F.col("lines")), "\n").alias("line"),
     )
 
 
@@ -179,6 +226,11 @@ def _containment(words: Column, template: list[str]) -> Column:
     return F.size(F.array_intersect(words, _words(own))) / len(own)
 
 
+def _pairs_held(words: Column, template: list[str]) -> Column:
+    own = sorted({gram for gram in _grams(template) if " " in gram})
+    return F.size(F.array_intersect(grams_of(words), _words(own))) / len(own)
+
+
 def _words(words: list[str]) -> Column:
     """A constant; from one string, since thousands of single literals take long to plan."""
     return F.split(F.lit("\n".join(words)), "\n")

@@ -376,6 +376,16 @@ def test_watermarked_dedupe_over_batches(spark, path, messages, salts):
     assert got.agg(F.max("offset")).first()[0] < 60
 
 
+def test_dedupe_keeps_unique_messages_whatever_their_time(spark, path, messages):
+    log, out = path("log"), path("out")
+    older = messages([(i, "test", f"p{i}") for i in range(20, 60)]).withColumn("timestamp", F.col("timestamp") - F.expr("INTERVAL 1 DAY"))
+    for rows in (messages([(i, "test", f"p{i}") for i in range(40)]), older):
+        land(rows, log)
+    stream = subscribe(spark, LogOptions(log, "test", max_files_per_trigger=1))
+    keep(dedupe_stream(stream, "1 hour"), out, path("position")).awaitTermination()
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == list(range(60))
+
+
 def test_same_id_is_not_a_copy(messages):
     rows = messages([(1, "a", "x"), (1, "a", "y"), (1, "b", "x"), (1, "a", "x")])
     kept = dedupe(rows)

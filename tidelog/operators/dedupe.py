@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 
 def dedupe_stream(messages: DataFrame, delay: str, salts: int = 1) -> DataFrame:
-    """One message for each set of copies that arrive within ``delay`` of each other.
+    """One message for each set of copies that are read within ``delay`` of each other.
 
     The copy kept is from the first micro-batch that holds one. State keeps a
-    digest in place of the payload. A message later than ``delay`` after the newest one seen is
-    discarded, copy or not: ``delay`` must cover how far publishers may be out of order.
+    digest in place of the payload. The watermark rests on the time of the micro-batch, which is
+    in the checkpoint and only grows: a message is never late, whatever its ``timestamp``.
     With ``salts`` copies are first reduced by the
     task that read them, so that even a message that makes up a third of the
     stream passes through many tasks; at most ``salts`` of its copies meet in
@@ -25,10 +25,10 @@ def dedupe_stream(messages: DataFrame, delay: str, salts: int = 1) -> DataFrame:
     marked = messages.withColumn("__digest", F.unhex(F.sha2("payload", 256)))
     if salts > 1:
         marked = marked.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-    reduced = marked.withWatermark("timestamp", delay)
+    reduced = marked.withColumn("__read", F.current_timestamp()).withWatermark("__read", delay)
     if salts > 1:
         reduced = reduced.dropDuplicatesWithinWatermark([*keys, "__salt"])
-    return reduced.dropDuplicatesWithinWatermark(keys).drop("__digest", "__salt")
+    return reduced.dropDuplicatesWithinWatermark(keys).drop("__digest", "__salt", "__read")
 
 
 def dedupe(messages: DataFrame) -> DataFrame:

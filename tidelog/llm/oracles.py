@@ -97,7 +97,34 @@ SELECT doc_id, bytes, CASE WHEN depth > 0 THEN lpad(bin(prefix), depth, '0') ELS
 FROM fitting WHERE turn = 1
 """
 
+_HARD_NEGATIVES = """
+WITH taken AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS vector
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS own,
+           CAST(list_dot_product(a.vector, r.vector) AS BIGINT) AS score
+    FROM taken a JOIN taken r ON a.vec_id % 100 = 0
+), positives AS (
+    SELECT * FROM (
+        SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place
+        FROM scored WHERE own AND vec_id <> anchor_id
+    ) ordered WHERE place <= 5
+), negatives AS (
+    SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+           row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS place
+    FROM positives p JOIN scored n
+      ON p.anchor_id = n.anchor_id AND NOT n.own AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM negatives WHERE place <= 5
+"""
+
 SQL = {
+    "op13_hard_negatives": _HARD_NEGATIVES,
     "op6_shard_documents": _SHARDS,
     "op3_exact_dedup": _EXACT_DEDUP,
     "op5_mix_sources": _MIX,

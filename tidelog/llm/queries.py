@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import content_sort, fingerprints, jaccard, language_id, licenses, mixing, packing, sharding, toxicity, url_rules
+from tidelog.llm import (
+    content_sort, fingerprints, hard_negatives, jaccard, language_id, licenses, mixing, packing, sharding, toxicity,
+    url_rules, whitening,
+)
 from tidelog.plans.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +95,17 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def op11_whiten_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings")
+    return whitening.whiten(embeddings, whitening.fit(embeddings))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    embeddings = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(embeddings, F.col("vec_id") % 100 == 0)
+
+
 def registered() -> dict[str, Query]:
     import corpus_pipeline
 

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import (
-    content_sort, fingerprints, hard_negatives, jaccard, language_id, licenses, mixing, packing, sharding, toxicity,
-    url_rules, whitening,
+    content_sort, fingerprints, hard_negatives, jaccard, language_id, licenses, mixing, packing, passage_quality, sharding,
+    toxicity, url_rules, whitening,
 )
 from tidelog.plans.tables import table
 
@@ -100,6 +100,13 @@ def op11_whiten_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(embeddings, whitening.fit(embeddings))
 
 
+def op12_quality_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = passage_quality.fit(documents, table(spark, sf_dir, "labels"), fold(4) != 2)
+    scored = passage_quality.score(documents, model)
+    return scored.select("doc_id", (fold(4) == 2).alias("held_out"), "score", "predicted")
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
     embeddings = table(spark, sf_dir, "embeddings").withColumn("label", moved)

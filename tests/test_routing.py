@@ -15,6 +15,7 @@ from tidelog import (
     publish,
     publish_stream,
     read_log,
+    read_tag,
     store_by_tag,
     subscribe,
 )
@@ -109,9 +110,9 @@ def test_one_table_for_each_tag(spark, path, messages):
     for part in range(2):
         publish(messages([(part, "json/a", '{"k": 5}'), (part, "csv/a", "7,x"), (part, "other", "{}")]), log)
         store_by_tag(subscribe(spark, {"path": log, "topic": "#"}), out, position, formats).awaitTermination()
-    json = spark.read.parquet(f"{out}/j").orderBy("id").collect()
+    json = read_tag(spark, out, "j", formats).orderBy("id").collect()
     assert [(r["id"], r["topic"], r["value"]["k"]) for r in json] == [(0, "json/a", 5), (1, "json/a", 5)]
-    csv = spark.read.parquet(f"{out}/c").orderBy("id").collect()
+    csv = read_tag(spark, out, "c", formats).orderBy("id").collect()
     assert [(r["id"], r["value"]["n"], r["value"]["s"]) for r in csv] == [(0, 7, "x"), (1, 7, "x")]
 
 

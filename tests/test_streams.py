@@ -206,7 +206,7 @@ def test_any_order_of_replays_adds_each_batch_once(spark, batch_ids):
 def test_half_written_batch_is_not_seen_and_written_anew(spark, path, messages):
     log = path("log")
     folder = LogFolder(spark, log)
-    messages([(9, "test", "torn")]).write.parquet(folder.staging_path("published", 0, "rows"))
+    messages([(9, "test", "torn")]).write.parquet(folder.staging_path("published", 0) + "/rows")
     assert publish(messages([(1, "test", "whole")]), log)
     assert payloads(read_log(spark, log)) == ["whole"]
 
@@ -318,8 +318,8 @@ def test_limited_stream_landing(spark, path, messages):
         stream, log, path("position"), max_batch_messages=3, max_batch_bytes=4
     ).awaitTermination()
     held = read_log(spark, log).groupBy(F.input_file_name()).agg(F.min("offset"), F.max("offset"))
-    # Five messages of two bytes: cut after every third message and every fourth byte.
-    first = [(0, 1), (2, 2), (3, 3), (4, 4)]
+    # Five messages of two bytes: each batch is filled until the next message would break a limit.
+    first = [(0, 1), (2, 3), (4, 4)]
     second = [(low + 5, high + 5) for low, high in first]
     assert sorted(tuple(r)[1:] for r in held.collect()) == first + second
 

@@ -10,6 +10,7 @@ from tidelog.functions.payload import (
     tokens,
 )
 from tidelog.functions.topics import matches
+from tidelog.operators.admission import batches_in_turn
 from tidelog.operators.counts import topic_stats, window_counts, word_count, words
 from tidelog.operators.dedupe import dedupe, dedupe_stream
 from tidelog.operators.offsets import (
@@ -17,6 +18,7 @@ from tidelog.operators.offsets import (
     admission_by_count,
     assign_offsets,
     gap_check,
+    gap_ranges,
     running_bytes,
     slice_bounds,
     slice_number,
@@ -25,7 +27,6 @@ from tidelog.operators.offsets import (
 from tidelog.operators.routing import demux, fan_in, fan_out, fan_out_table
 from tidelog.session import configured, scratch_path
 from tidelog.sources.landed_text import parse_landed_lines, read_landed_text, render_landed_lines
-from tidelog.sources.layout import expire
 from tidelog.sources.log import (
     last_offset,
     read_log,
@@ -34,7 +35,8 @@ from tidelog.sources.log import (
     read_slice,
     subscribe,
 )
-from tidelog.streaming.publish import append_batch, land, publish, publish_stream, store_by_tag
+from tidelog.sources.positions import consumed_files, expire
+from tidelog.streaming.publish import append_batch, land, publish, publish_stream, read_tag, store_by_tag
 
 __all__ = [
     "ENVELOPE",
@@ -45,8 +47,10 @@ __all__ = [
     "admission_by_count",
     "append_batch",
     "as_text",
+    "batches_in_turn",
     "assign_offsets",
     "configured",
+    "consumed_files",
     "dedupe",
     "dedupe_stream",
     "demux",
@@ -57,6 +61,7 @@ __all__ = [
     "fan_out_table",
     "from_payload",
     "gap_check",
+    "gap_ranges",
     "land",
     "last_offset",
     "matches",
@@ -70,6 +75,7 @@ __all__ = [
     "read_messages",
     "read_newest",
     "read_slice",
+    "read_tag",
     "render_landed_lines",
     "running_bytes",
     "scratch_path",

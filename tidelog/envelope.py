@@ -79,6 +79,7 @@ _OPTION_NAMES: dict[str, tuple[str, Callable[[Any], Any]]] = {
     "maxfilespertrigger": ("max_files_per_trigger", _positive),
     "cleansource": ("clean_source", str),
     "sourcearchivedir": ("archive_dir", str),
+    "checkpointlocation": ("checkpoint", str),
 }
 
 # Options that only steer a network connection. They are checked
@@ -114,6 +115,7 @@ class LogOptions:
     metadata: bool = False
     clean_source: str | None = None
     archive_dir: str | None = None
+    checkpoint: str | None = None
 
     @classmethod
     def from_dict(cls, options: Mapping[str, Any]) -> LogOptions:
@@ -137,8 +139,7 @@ class LogOptions:
             raise ValueError("the log's location is missing: set `path` (or `brokerUrl`)")
         if not values.get("topic"):
             raise ValueError("`topic` is missing")
-        if values["path"].startswith(("tcp://", "ssl://", "ws://", "wss://")):
-            raise ValueError(f"{values['path']!r} is a broker address; give the folder of a message log")
+        _refuse_broker(values["path"])
         return cls(**values)
 
     @classmethod
@@ -146,6 +147,44 @@ class LogOptions:
         return options if isinstance(options, LogOptions) else cls.from_dict(options)
 
 
+# Which of these options a sink takes, by the name of its argument.
+_SINK_FIELDS = {
+    "path": "log", "topic": "topic", "qos": "qos", "checkpoint": "checkpoint",
+    "max_batch_messages": "max_batch_messages", "max_batch_bytes": "max_batch_bytes",
+}
+
+
+def sink_arguments(options: Mapping[str, Any]) -> dict[str, Any]:
+    """A sink's option map, its keys in any case, as arguments of :func:`publish` or :func:`publish_stream`.
+
+    A topic may be missing, since the rows may have one; the client's name and other options of a connection
+    are checked and have no effect, as many tasks write at once.
+    """
+    given = {str(key).lower(): value for key, value in options.items()}
+    for key, convert in _CONNECTION_OPTIONS.items():
+        if key in given:
+            _converted(key, given[key], convert)
+    values: dict[str, Any] = {}
+    taken = set(_CONNECTION_OPTIONS)
+    for key, (field, convert) in _OPTION_NAMES.items():
+        if field in _SINK_FIELDS:
+            taken.add(key)
+            if key in given and _SINK_FIELDS[field] not in values:
+                values[_SINK_FIELDS[field]] = _converted(key, given[key], convert)
+    unknown = sorted(set(given) - taken)
+    if unknown:
+        raise ValueError(f"unknown options of a sink: {', '.join(unknown)}")
+    if not values.get("log"):
+        raise ValueError("the log's location is missing: set `path` (or `brokerUrl`)")
+    _refuse_broker(values["log"])
+    return values
+
+
+def _refuse_broker(path: str) -> None:
+    if path.startswith(("tcp://", "ssl://", "ws://", "wss://")):
+        raise ValueError(f"{path!r} is a broker address; give the folder of a message log")
+
+
 def _converted(key: str, value: Any, convert: Callable[[Any], Any]) -> Any:
     try:
         return convert(value)

@@ -73,6 +73,85 @@ def parse_with(
     return F.pandas_udf(parse, return_type)(_column(payload))
 
 
+def decoded(
+    payload: Column | str, schema: T.StructType | str, format: str = "json", options: dict[str, str] | None = None
+) -> Column:
+    """Decode like :func:`from_payload`, and say what could not be decoded: a struct of ``value`` and ``error``.
+
+    One of the two is NULL. A payload is bad where it is NULL, not UTF-8, not of the format, or where one of its values is not of
+    the declared type; its error says which. A JSON payload that is no object, such as an empty one, is bad too.
+    """
+    kind = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    broken = "__broken"
+    wide = T.StructType([*kind.fields, T.StructField(broken, T.StringType())])
+    payload = _column(payload)
+    text = as_text(payload, strict=True)
+    row = from_payload(text, wide, format, {**(options or {}), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken})
+    value = F.struct(*[row[field.name].cast(field.dataType).alias(field.name) for field in kind.fields])
+    error = (
+        F.when(payload.isNull(), "no payload")
+        .when(text.isNull(), "not UTF-8")
+        .when(row.isNull() | row[broken].isNotNull(), f"not {format} of the declared schema")
+    )
+    if format == "json":
+        error = error.when(~F.ltrim(text).startswith("{"), "not json of the declared schema")
+    return F.struct(F.when(error.isNull(), value).alias("value"), error.alias("error"))
+
+
+def decoded_with(
+    parser: Callable[[pd.Series], pd.Series], return_type: T.DataType | str, payload: Column | str = "payload"
+) -> Column:
+    """Run an external parser over whole Arrow batches of payloads: a struct of ``value`` and ``error``.
+
+    ``parser`` gets a series of bytes and gives a series of as many values. Where it raises on a batch, that batch is halved until
+    the payloads it cannot read are alone; their error is what it raised. NULL payloads are not given to it.
+    """
+    kind = return_type if isinstance(return_type, T.DataType) else T.DataType.fromDDL(return_type)
+    result = T.StructType([T.StructField("value", kind), T.StructField("error", T.StringType())])
+
+    def parse(batch: pd.Series) -> pd.DataFrame:
+        given = batch[batch.notna()].map(bytes)
+        values: list = [None] * len(batch)
+        errors: list = ["no payload"] * len(batch)
+        parts = [given.reset_index(drop=True).set_axis(batch.index.get_indexer(given.index))]
+        while parts:
+            part = parts.pop()
+            if not len(part):
+                continue
+            try:
+                parsed = list(parser(part))
+                if len(parsed) != len(part):
+                    raise ValueError(f"the parser gave {len(parsed)} values for {len(part)} payloads")
+            except Exception as bad:  # whatever a parser raises is its word on a payload
+                if len(part) > 1:
+                    parts += [part.iloc[: len(part) // 2], part.iloc[len(part) // 2 :]]
+                else:
+                    errors[part.index[0]] = f"{type(bad).__name__}: {bad}"
+                continue
+            for place, value in zip(part.index, parsed):
+                values[place], errors[place] = value, None
+        return pd.DataFrame({"value": pd.Series(values, dtype=object), "error": pd.Series(errors, dtype=object)})
+
+    return F.pandas_udf(parse, result)(_column(payload))
+
+
+def with_dead_letters(messages: DataFrame, result: Column, dead_topic: str) -> DataFrame:
+    """Messages with ``value`` and ``error`` of a decoding; those that could not be decoded go under ``dead_topic``.
+
+    They keep their payload, and ``source_topic`` says where they came from. One pass; batch and stream alike.
+    """
+    taken = messages.withColumn("__result", result)
+    bad = F.col("__result.error").isNotNull()
+    others = [F.col(_quoted(name)) for name in messages.columns if name not in ("topic", "value", "error", "source_topic")]
+    return taken.select(
+        F.when(bad, F.lit(dead_topic)).otherwise(F.col("topic")).alias("topic"),
+        F.col("topic").alias("source_topic"),
+        *others,
+        F.col("__result.value").alias("value"),
+        F.col("__result.error").alias("error"),
+    )
+
+
 def parse_rows(
     df: DataFrame,
     parser: Callable[[pd.DataFrame], pd.DataFrame],

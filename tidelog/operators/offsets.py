@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import accumulate
 
 import pyarrow as pa
@@ -10,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelog.operators.admission import batches_in_turn
+
 _RANK_BITS = 33  # monotonically_increasing_id keeps the row's rank in its low 33 bits
 _FIRST_OFFSETS = pa.schema([("__range", pa.int64()), ("before", pa.int64())])
 _BROADCAST_ROWS = 250_000  # of four numbers each, at most three times over: under 100 MB
@@ -153,27 +156,23 @@ def admission_by_bytes(bytes_before: Column | str, size: Column, limit: int) ->
 
 
 def with_byte_admission(
-    numbered: DataFrame, staging: str, limit: int, by_count: Column | None = None
+    numbered: DataFrame, staging: str, limit: int, max_messages: int | None = None
 ) -> DataFrame:
-    """Add ``admission`` under a byte limit, and a count limit too where one is given.
+    """Add ``admission``, the first offset of a message's batch, where each batch is filled up to the limits in turn.
 
-    ``numbered`` must be stored, with dense offsets. Only offsets and lengths go
-    through the window; the outcome is one row for each batch, its first and last
-    offset. These meet the messages again over blocks of about one batch's
-    length, where a message has two candidates on average whatever the sizes,
-    so that payloads are not shuffled to learn their batch.
+    ``numbered`` must be stored, with dense offsets. Only offsets and lengths are looked at to find the batches.
     """
-    spark = numbered.sparkSession
     sized = numbered.select("offset", F.coalesce(F.length("payload"), F.lit(0)).alias("size"))
-    admission = admission_by_bytes("bytes_before", F.col("size"), limit)
-    if by_count is not None:
-        # Both numbers grow with the offset, so their sum changes where either does.
-        admission = admission + by_count
-    running_bytes(sized, size="size").groupBy(admission.alias("admission")).agg(
-        F.min("offset").alias("low"), F.max("offset").alias("high")
-    ).write.mode("overwrite").parquet(staging)
-
-    bounds = spark.read.schema("admission BIGINT, low BIGINT, high BIGINT").parquet(staging)
+    batches = batches_in_turn(sized, staging, limit, max_messages)
+    return with_batches(numbered, batches.select(F.col("low").alias("admission"), "low", "high"))
+
+
+def with_batches(numbered: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Add ``admission`` to the messages from bounds ``admission, low, high``, one row for each batch.
+
+    They meet over blocks of about one batch's length, where a message has two candidates
+    on average whatever the sizes. Payloads are not shuffled for it unless the batches are too many to send around.
+    """
     shape = bounds.agg(F.count(F.lit(1)).alias("batches"), F.sum(F.expr("high - low + 1")).alias("rows")).first()
     if not shape["batches"]:
         return numbered.withColumn("admission", F.lit(None).cast("long"))
@@ -181,15 +180,16 @@ def with_byte_admission(
     blocks = bounds.withColumn(
         "__block", F.explode(F.sequence(F.shiftright("low", bits), F.shiftright("high", bits)))
     )
-    if shape["batches"] <= _BROADCAST_ROWS:
-        blocks = F.broadcast(blocks)
+    few = shape["batches"] <= _BROADCAST_ROWS
     inside = (F.col("offset") >= F.col("low")) & (F.col("offset") <= F.col("high"))
-    placed = numbered.withColumn("__block", F.shiftright("offset", bits)).join(blocks, "__block").where(inside)
-    return placed.drop("__block", "low", "high")
+    keyed = numbered.withColumn("__block", F.shiftright("offset", bits))
+    placed = keyed.join(F.broadcast(blocks) if few else blocks, "__block").where(inside).drop("__block", "low", "high")
+    # a batch is bounded by its limit, so no group of this shuffle is hot
+    return placed if few else placed.repartition("admission")
 
 
 def gap_check(df: DataFrame, offset: str = "offset") -> DataFrame:
-    """One row: how many messages there are, and how many are missing or repeated.
+    """One row: how many messages there are, and how many are missing, repeated, or without an offset.
 
     Distinct offsets are counted exactly, 64 to a bit mask. Masks are merged on
     the map side, and as a log's files hold runs of offsets, about one row is
@@ -198,8 +198,7 @@ def gap_check(df: DataFrame, offset: str = "offset") -> DataFrame:
     number = F.col(offset)
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), number.bitwiseAND(F.lit(63)).cast("int"))
     masks = (
-        df.where(number.isNotNull())
-        .groupBy(F.shiftright(number, 6).alias("__block"))
+        df.groupBy(F.shiftright(number, 6).alias("__block"))
         .agg(
             F.bit_or(bit).alias("mask"),
             F.count(F.lit(1)).alias("n"),
@@ -207,10 +206,12 @@ def gap_check(df: DataFrame, offset: str = "offset") -> DataFrame:
             F.max(number).alias("high"),
         )
     )
+    numbered = F.col("__block").isNotNull()
     summed = masks.agg(
         F.min("low").alias("first_offset"),
         F.max("high").alias("last_offset"),
         F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("messages"),
+        F.coalesce(F.sum(F.when(~numbered, F.col("n"))), F.lit(0)).cast("long").alias("unnumbered"),
         F.coalesce(F.sum(F.bit_count("mask")), F.lit(0)).cast("long").alias("present"),
     )
     span = F.coalesce(F.col("last_offset") - F.col("first_offset") + 1, F.lit(0))
@@ -219,8 +220,49 @@ def gap_check(df: DataFrame, offset: str = "offset") -> DataFrame:
         "last_offset",
         "messages",
         (span - F.col("present")).cast("long").alias("missing"),
-        (F.col("messages") - F.col("present")).cast("long").alias("repeated"),
+        (F.col("messages") - F.col("unnumbered") - F.col("present")).cast("long").alias("repeated"),
+        "unnumbered",
+    )
+
+
+def gap_ranges(df: DataFrame, offset: str = "offset", by: Sequence[str] = ()) -> DataFrame:
+    """Runs of missing offsets, one row each: the columns of ``by``, ``from`` and ``to``, both missing.
+
+    Looked for between the first and the last offset there is, for each value of ``by``. Offsets are gathered into
+    bit masks of 64, on the map side first, and gaps within a mask are read off its bits. For gaps between masks only the offset
+    before a mask's first is wanted. A mask sees the one before it within a group of 2^14 neighbours; groups, with their
+    first and last offset, see each other in groups of 2^14 in the same way, and the last level has one row
+    for 2^34 offsets. Rows without an offset are left out; a repeated offset is no gap.
+    """
+    number = F.col(offset)
+    keys = [F.col(name) for name in by]
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), number.bitwiseAND(F.lit(63)).cast("int"))
+    masks = (
+        df.where(number.isNotNull())
+        .groupBy(*keys, F.shiftright(number, 6).alias("__block"))
+        .agg(F.bit_or(bit).alias("__mask"), F.min(number).alias("__low"), F.max(number).alias("__high"))
+    )
+    holed = masks.where(F.col("__high") - F.col("__low") + 1 > F.bit_count("__mask"))
+    bits = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda place: F.getbit("__mask", place) == 1)
+    present = holed.select(*by, F.transform(bits, lambda place: F.col("__block") * 64 + place).alias("__present"))
+    steps = F.zip_with(
+        F.slice("__present", 1, F.size("__present") - 1),
+        F.slice("__present", 2, F.size("__present") - 1),
+        lambda before, after: F.struct(before.alias("before"), after.alias("after")),
     )
+    between = [present.select(*by, F.inline(steps).alias("before", "after"))]
+    level = masks.select(*by, "__block", "__low", "__high")
+    for last in (False, False, True):
+        grouped = level if last else level.withColumn("__group", F.shiftright("__block", 14))
+        group = [] if last else ["__group"]
+        before = F.lag("__high").over(Window.partitionBy(*by, *group).orderBy("__block"))
+        between.append(grouped.select(*by, before.alias("before"), F.col("__low").alias("after")))
+        if not last:
+            level = grouped.groupBy(*by, F.col("__group").alias("__block")).agg(
+                F.min("__low").alias("__low"), F.max("__high").alias("__high")
+            )
+    pairs = reduce(DataFrame.unionByName, between).where(F.col("after") - F.col("before") > 1)
+    return pairs.select(*by, (F.col("before") + 1).alias("from"), (F.col("after") - 1).alias("to"))
 
 
 def _div(number: Column, by: Column) -> Column:

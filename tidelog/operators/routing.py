@@ -50,8 +50,8 @@ def fan_out_table(messages: DataFrame, routes: DataFrame) -> DataFrame:
     topics, is joined once for each shape instead, with the same result. Routes with a NULL filter
     or destination are no routes.
     """
-    routes = routes.select(F.col("filter").alias("__filter"), "destination")
-    routes = routes.where("__filter IS NOT NULL AND destination IS NOT NULL").distinct()
+    routes = routes.select(F.col("filter").alias("__filter"), F.col("destination").alias("__destination"))
+    routes = routes.where("__filter IS NOT NULL AND __destination IS NOT NULL").distinct()
     levels = F.split("__filter", "/")
     shape = F.transform(levels, lambda level: F.when(level.isin("+", "#"), level).otherwise("-"))
     shaped = routes.withColumn("__shape", F.concat_ws("/", shape))
@@ -77,7 +77,7 @@ def _fan_out_by_shape(messages: DataFrame, shaped: DataFrame, shapes: list[str])
         of_shape = (
             shaped.where(F.col("__shape") == each)
             .groupBy(F.col("__filter").alias(key))
-            .agg(F.collect_set("destination").alias(found))
+            .agg(F.collect_set("__destination").alias(found))
         )
         routed = routed.withColumn(key, _filter_of_shape(each)).join(of_shape, key, "left")
         reached.append(F.coalesce(F.col(found), none))
@@ -96,12 +96,12 @@ def _fan_out_by_topic(messages: DataFrame, shaped: DataFrame, shapes: list[str])
         .distinct()
         .withColumn("__filter", F.explode(candidates))
         .join(shaped, "__filter")
-        .select("topic", "destination")
+        .select("topic", "__destination")
         .distinct()
     )
     others = [name for name in messages.columns if name != "topic"]
     return messages.join(pairs, "topic").select(
-        F.col("topic").alias("source_topic"), F.col("destination").alias("topic"), *others
+        F.col("topic").alias("source_topic"), F.col("__destination").alias("topic"), *others
     )
 
 

@@ -83,6 +83,77 @@ SELECT batch_id, count(*) AS messages, CAST(sum(size) AS BIGINT) AS bytes,
 FROM ranked GROUP BY batch_id"""
 
 
+def _in_turn(sized: str, max_bytes: int, max_messages: int | None = None) -> str:
+    """Batch after batch: each begins at the first message that the one before could not take."""
+    beyond = f"""
+ends AS (
+  SELECT "offset", before + size AS place, 0 AS reaches FROM sized WHERE size > 0
+  UNION ALL SELECT "offset", before + {max_bytes}, 1 FROM sized
+),
+beyond AS (
+  SELECT "offset", after FROM (
+    SELECT "offset", reaches, min(CASE WHEN reaches = 0 THEN "offset" END) OVER (
+      ORDER BY place, reaches ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS after
+    FROM ends
+  ) ordered WHERE reaches = 1
+),
+pointers AS (
+  SELECT s."offset", least(CASE WHEN y.after IS NULL THEN 9223372036854775807 ELSE greatest(y.after, s."offset" + 1) END,
+                           {f's."offset" + {max_messages}' if max_messages else '9223372036854775807'}) AS after
+  FROM sized s LEFT JOIN beyond y ON s."offset" = y."offset"
+),
+starts AS (
+  SELECT CAST(0 AS BIGINT) AS low
+  UNION ALL SELECT p.after FROM starts s JOIN pointers p ON p."offset" = s.low
+  WHERE p.after <= (SELECT max("offset") FROM sized)
+),
+batches AS (
+  SELECT row_number() OVER (ORDER BY low) - 1 AS number, low,
+         coalesce(lead(low) OVER (ORDER BY low) - 1, (SELECT max("offset") FROM sized)) AS high
+  FROM starts
+)"""
+    return sized + "," + beyond
+
+
+def _sized(messages: str) -> str:
+    return messages + """,
+sized AS (
+  SELECT *, octet_length(encode(payload)) AS size,
+         CAST(coalesce(sum(octet_length(encode(payload))) OVER (
+           ORDER BY "offset" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
+  FROM numbered
+)"""
+
+
+_NUMBERED_DOCS = (
+    _DOCS
+    + """,
+numbered AS (
+  SELECT *, row_number() OVER (ORDER BY "timestamp", id) - 1 AS "offset" FROM docs
+)"""
+)
+
+_BATCH_BYTES = """
+SELECT number, low, high, CAST(sum(size) AS BIGINT) AS bytes
+FROM batches JOIN sized ON "offset" BETWEEN low AND high GROUP BY number, low, high"""
+
+_OFTEN = (
+    _EVENTS
+    + """,
+often AS (
+  SELECT * FROM messages
+  UNION ALL SELECT id, topic, payload, "timestamp" + INTERVAL 5 MINUTE, qos FROM messages WHERE id % 10 = 0
+  UNION ALL SELECT id, topic, payload, "timestamp" + INTERVAL 1 DAY, qos FROM messages WHERE id % 10 = 5
+),
+numbered AS (SELECT *, row_number() OVER (ORDER BY "timestamp", id) - 1 AS "offset" FROM often),
+seen AS (SELECT *, lag("offset") OVER (PARTITION BY id, topic, payload ORDER BY "offset") AS previous FROM numbered)"""
+)
+
+_LAST_N = f"""
+WITH {_OFTEN}
+SELECT id, topic, payload, "timestamp" FROM seen WHERE previous IS NULL OR "offset" - previous > 200"""
+
+
 _SQL: dict[str, str] = {
     "log_stream_scan": _ALL_EVENTS,
     "land_log": f'WITH {_NUMBERED} SELECT id, topic, payload, "timestamp", "offset" FROM numbered',
@@ -112,11 +183,37 @@ SELECT id, least(qos, 1) AS qos, false AS retained, false AS duplicate FROM mess
 WITH {_NUMBERED}, total AS (SELECT count(*) AS n FROM numbered)
 SELECT id, "offset", "offset" * 8 // n AS slice FROM numbered, total""",
     "batch_by_count": _limited('"offset" // most', "25000"),
-    "batch_by_bytes": _limited(
-        "2 * (before // most) + CASE WHEN (before + greatest(size - 1, 0)) // most > before // most"
-        " THEN 1 ELSE 0 END",
-        "262144",
-    ),
+    "batch_by_bytes": f"""
+WITH RECURSIVE {_in_turn(_sized(_NUMBERED), 262144)}
+SELECT number AS batch_id, count(*) AS messages, CAST(sum(size) AS BIGINT) AS bytes,
+       min("timestamp") AS first_time, max("timestamp") AS last_time
+FROM batches JOIN sized ON "offset" BETWEEN low AND high GROUP BY number""",
+    "byte_batches": f"WITH RECURSIVE {_in_turn(_sized(_NUMBERED_DOCS), 65536)} {_BATCH_BYTES}",
+    "both_batches": f"WITH RECURSIVE {_in_turn(_sized(_NUMBERED_DOCS), 65536, 25)} {_BATCH_BYTES}",
+    "slice_mixed_log": f"""
+WITH {_NUMBERED}, top AS (SELECT max("offset") AS top FROM numbered)
+SELECT id, topic, payload, "offset" FROM numbered, top
+WHERE "offset" > top // 8 AND "offset" <= top * 7 // 8""",
+    "retention_consumed": f"{_ALL_EVENTS} WHERE (day(\"timestamp\") - 1) // 8 >= 1",
+    "backfill_then_tail": _ALL_EVENTS,
+    "clean_session_late": f"{_ALL_EVENTS} WHERE (day(\"timestamp\") - 1) // 8 < 2",
+    "decode_dead_letters": """
+WITH told AS (
+  SELECT CAST(doc_id % 2147483648 AS INTEGER) AS id, n_chars, doc_id % 7 = 0 OR doc_id % 3 = 0 AS bad,
+         '{"doc_id":' || doc_id || ',"n_chars":' || n_chars || '}' AS whole, doc_id, text
+  FROM documents
+)
+SELECT id, CASE WHEN bad THEN 'docs/unread' ELSE 'docs' END AS topic, CASE WHEN NOT bad THEN n_chars END AS n_chars, bad,
+       md5(CASE WHEN doc_id % 7 = 0 THEN text WHEN doc_id % 3 = 0 THEN left(whole, length(whole) - 1) ELSE whole END) AS digest
+FROM told""",
+    "window_counts_update": _HOURS,
+    "dedupe_last_n": _LAST_N,
+    "dedupe_last_n_stream": _LAST_N,
+    "gap_ranges": f"""
+WITH {_NUMBERED},
+stepped AS (SELECT topic, "offset", lag("offset") OVER (PARTITION BY topic ORDER BY "offset") AS previous FROM numbered)
+SELECT 'landed' AS publisher, topic, previous + 1 AS "from", "offset" - 1 AS "to"
+FROM stepped WHERE "offset" - previous > 1""",
     "resume_after_restart": _ALL_EVENTS,
     "retention_window": f"{_ALL_EVENTS} WHERE (day(\"timestamp\") - 1) // 8 >= 2",
     "clean_session": f"{_ALL_EVENTS} WHERE \"timestamp\" > TIMESTAMP '2024-01-16 00:00:00'",
@@ -191,7 +288,7 @@ parts AS (
 )
 SELECT part, min("offset") AS first_offset, max("offset") AS last_offset, count(*) AS messages,
        max("offset") - min("offset") + 1 - count(DISTINCT "offset") AS missing,
-       count(*) - count(DISTINCT "offset") AS repeated
+       count(*) - count(DISTINCT "offset") AS repeated, count(*) - count("offset") AS unnumbered
 FROM parts GROUP BY part""",
     "fan_in": f"""
 WITH {_BOTH} SELECT id, topic, "timestamp", md5(payload) AS digest FROM everything""",

@@ -13,10 +13,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.envelope import LogOptions
-from tidelog.functions.payload import as_text, encode, from_payload, parse_rows, parse_with, tokens
+from tidelog.envelope import ENVELOPE, LogOptions
+from tidelog.functions.payload import (
+    as_text, decoded, encode, from_payload, parse_rows, parse_with, tokens, with_dead_letters,
+)
 from tidelog.functions.topics import matches
 from tidelog.operators import counts, dedupe, offsets, routing
+from tidelog.operators.admission import batches_in_turn
 from tidelog.plans.tables import (
     document_messages,
     event_messages,
@@ -36,7 +39,10 @@ from tidelog.sources.log import (
     read_slice,
     subscribe,
 )
-from tidelog.streaming.publish import land, publish, publish_stream, store_by_tag
+from tidelog.sources.positions import expire
+from tidelog.streaming import backfill as tail
+from tidelog.streaming import changes
+from tidelog.streaming.publish import land, publish, publish_stream, read_tag, store_by_tag
 from tidelog.streaming.results import keep, newest_result
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +50,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Limits of one micro-batch in the queries that land under one.
 _MOST_MESSAGES = 25_000
 _MOST_BYTES = 256 << 10
+_MOST_DOCUMENT_BYTES, _MOST_DOCUMENTS = 64 << 10, 25
+_BACKLOG = 200
 _SLICES = 8
 _CLEAN_START = "2024-01-16 00:00:00"
 
@@ -100,6 +108,22 @@ def offset_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select("id", "topic", as_text().alias("payload"), "offset")
 
 
+def slice_mixed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A slice of a log of batches that were landed under different limits, and in part as a stream."""
+    messages = event_messages(spark, sf_dir)
+    log = scratch_path(spark, "mixed")
+    land(event_part(messages, 0), log)
+    land(event_part(messages, 1), log, max_batch_messages=_MOST_MESSAGES // 5)
+    source = scratch_path(spark, "mixed-source")
+    publish(event_part(messages, 2), source)
+    stream = subscribe(spark, LogOptions(source, "events/#", metadata=True)).drop("offset")
+    publish_stream(stream, log, scratch_path(spark, "mixed-position"), number=True).awaitTermination()
+    land(event_part(messages, 3), log, max_batch_bytes=_MOST_BYTES)
+    top = last_offset(spark, log)
+    part = read_slice(spark, log, end=top * 7 // 8, start=top // 8)
+    return part.select("id", "topic", as_text().alias("payload"), "offset")
+
+
 def empty_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = landed(spark, sf_dir, "events")
     top = last_offset(spark, log)
@@ -117,16 +141,14 @@ def topic_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def topic_wildcards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = read_log(spark, landed(spark, sf_dir, "all"))
+    log = read_log(spark, landed(spark, sf_dir, "all")).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
     filters = ["#", "+/click", "+/+", "docs/#", "docs/+", "events/error", "+"]
     named = F.explode(
         F.filter(
             F.array(*[F.when(matches("topic", f), F.lit(f)) for f in filters]), lambda f: f.isNotNull()
         )
     )
-    return log.select(named.alias("filter"), "topic").groupBy("filter", "topic").agg(
-        F.count(F.lit(1)).alias("messages")
-    )
+    return log.select(named.alias("filter"), "topic", F.col("n").alias("messages"))
 
 
 def qos_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,6 +179,17 @@ def batch_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _limited_batches(spark, messages, max_batch_bytes=_MOST_BYTES)
 
 
+def byte_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sized = read_log(spark, landed(spark, sf_dir, "documents")).select("offset", F.length("payload").alias("size"))
+    return batches_in_turn(sized, scratch_path(spark, "byte-batches"), max_bytes=_MOST_DOCUMENT_BYTES)
+
+
+def both_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sized = read_log(spark, landed(spark, sf_dir, "documents")).select("offset", F.length("payload").alias("size"))
+    staging = scratch_path(spark, "both-batches")
+    return batches_in_turn(sized, staging, _MOST_DOCUMENT_BYTES, _MOST_DOCUMENTS, rows_per_slice=1 << 9)
+
+
 def _limited_batches(spark: SparkSession, messages: DataFrame, **limit: int) -> DataFrame:
     log, out = scratch_path(spark, "limited"), scratch_path(spark, "limited-out")
     land(messages, log, **limit)
@@ -185,6 +218,50 @@ def retention_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text(read_newest(spark, landed(spark, sf_dir, "parts"), keep=2))
 
 
+def backfill_then_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = event_messages(spark, sf_dir)
+    log, out, position = (scratch_path(spark, f"backfill-{part}") for part in ("log", "out", "position"))
+    options = {"path": log, "topic": "events/#"}
+    for part in (0, 1):
+        land(event_part(messages, part), log)
+    # The work is ended in the midst of the backfill; more is landed before it goes on.
+    tail.backfill(spark, options, out, position, _SLICES, at_most=3)
+    land(event_part(messages, 2), log)
+    tail.backfill_then_tail(spark, options, out, position, _SLICES).awaitTermination()
+    land(event_part(messages, 3), log)
+    tail.backfill_then_tail(spark, options, out, position, _SLICES).awaitTermination()
+    return _text(read_log(spark, out))
+
+
+def retention_consumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of a log where one reader has read the first part and another one three."""
+    messages = event_messages(spark, sf_dir)
+    log = scratch_path(spark, "consumed")
+    slow, quick = scratch_path(spark, "slow-position"), scratch_path(spark, "quick-position")
+    for part in range(4):
+        land(event_part(messages, part), log)
+        readers = {0: [slow, quick], 1: [quick], 2: [quick], 3: []}[part]
+        for position in readers:
+            out = scratch_path(spark, "consumed-out")
+            publish_stream(subscribe(spark, LogOptions(log, "events/#")), out, position).awaitTermination()
+    expire(spark, log, 1, readers=[slow, quick])
+    return _text(read_log(spark, log))
+
+
+def clean_session_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A clean session gets what is landed after it began, though all of it carries older times."""
+    messages = event_messages(spark, sf_dir)
+    log, out, position = (scratch_path(spark, f"session-{part}") for part in ("log", "out", "position"))
+    options = {"path": log, "topic": "events/#", "cleanSession": "true", "checkpointLocation": position}
+    for part in (3, 2):
+        land(event_part(messages, part), log)
+    keep(subscribe(spark, options), out, position).awaitTermination()
+    for part in (1, 0):  # each time the session is started again
+        land(event_part(messages, part), log)
+        keep(subscribe(spark, options), out, position).awaitTermination()
+    return _text(spark.read.schema(ENVELOPE).parquet(out))
+
+
 def clean_session(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = _events(spark, sf_dir, clean_session=True, start_timestamp=_CLEAN_START)
     return _text(_kept(spark, stream, "clean"))
@@ -303,6 +380,23 @@ def decode_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_rows(log, line_lengths, "id INT, line BIGINT, bytes BIGINT")
 
 
+def decode_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as JSON, some cut short and some as plain text; what cannot be decoded goes to a topic of its own."""
+    whole = F.to_json(F.struct("doc_id", "n_chars"))
+    cut = F.expr("left(whole, length(whole) - 1)")
+    payload = F.when(F.col("doc_id") % 7 == 0, F.col("text")).when(F.col("doc_id") % 3 == 0, cut).otherwise(F.col("whole"))
+    messages = table(spark, sf_dir, "documents").withColumn("whole", whole).select(
+        packet_id("doc_id"), F.lit("docs").alias("topic"), payload.cast("binary").alias("payload")
+    )
+    out = scratch_path(spark, "dead-letters")
+    routed = with_dead_letters(messages, decoded("payload", "doc_id BIGINT, n_chars BIGINT"), "docs/unread")
+    publish(routed.select("id", "topic", "payload"), out)
+    back = with_dead_letters(
+        read_log(spark, out).select("id", "topic", "payload"), decoded("payload", "doc_id BIGINT, n_chars BIGINT"), "docs/unread"
+    )
+    return back.select("id", "topic", F.col("value.n_chars").alias("n_chars"), F.col("error").isNotNull().alias("bad"), _md5())
+
+
 def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = read_log(spark, landed(spark, sf_dir, "documents"))
     found = tokens(as_text("payload"))
@@ -344,6 +438,24 @@ def window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _windows(newest_result(spark, out))
 
 
+def window_counts_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only what changed is published, for parts of the log that do not come in order, and half of it is compacted."""
+    messages = event_messages(spark, sf_dir)
+    log, out, position = (scratch_path(spark, f"update-{part}") for part in ("log", "out", "position"))
+    schema, keys = "start TIMESTAMP, end TIMESTAMP, of STRING, n BIGINT", ["start", "end", "of"]
+    columns = ["start", "end", F.col("topic").alias("of"), "n"]  # a column `topic` would be the message's own
+    for parts in ((2, 0), (3, 1)):
+        for part in parts:
+            for half in (0, 1):
+                land(event_part(messages, part).where(F.pmod("id", F.lit(2)) == half), log)
+        stream = subscribe(spark, LogOptions(log, "events/#", max_files_per_trigger=1))
+        counted = counts.window_counts(stream, "1 hour").select(*columns)
+        publish_stream(counted, out, position, "windows", output_mode="update").awaitTermination()
+        if parts == (2, 0):
+            changes.compact_changes(spark, out, schema, keys)
+    return _windows(changes.read_changes(spark, out, schema, keys).withColumnRenamed("of", "topic"))
+
+
 def window_counts_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = counts.window_counts(_events(spark, sf_dir), "1 hour", delay="2 hours")
     return _windows(_kept(spark, stream, "windows-append"))
@@ -381,6 +493,33 @@ def dedupe_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text(dedupe.dedupe(_redelivered(spark, sf_dir)))
 
 
+def _often_redelivered(spark: SparkSession, sf_dir: str) -> str:
+    """A log of four batches: the events, some once more five minutes later and some a day later."""
+    messages = event_messages(spark, sf_dir)
+    parts = [messages]
+    for left, later in ((0, "5 MINUTES"), (5, "1 DAY")):
+        again = messages.where(F.pmod("id", F.lit(10)) == left)
+        parts.append(again.withColumn("timestamp", F.col("timestamp") + F.expr(f"INTERVAL {later}")))
+    log = scratch_path(spark, "often-redelivered")
+    everything = routing.fan_in(*parts)
+    starts = [f"timestamp'2024-01-{day:02d} 00:00:00'" for day in (9, 17, 25)]
+    bounds = ["timestamp'1970-01-01 00:00:00'", *starts, "timestamp'2100-01-01 00:00:00'"]
+    for low, high in zip(bounds, bounds[1:]):
+        land(everything.where(f"timestamp >= {low} AND timestamp < {high}"), log)
+    return log
+
+
+def dedupe_last_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = read_log(spark, _often_redelivered(spark, sf_dir))
+    return _text(dedupe.dedupe_last(log, _BACKLOG))
+
+
+def dedupe_last_n_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = _often_redelivered(spark, sf_dir)
+    stream = subscribe(spark, LogOptions(log, "events/#", metadata=True, max_files_per_trigger=1))
+    return _text(_kept(spark, dedupe.dedupe_last_stream(stream, _BACKLOG, buckets=_SLICES), "last-n"))
+
+
 def topic_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = counts.topic_stats(read_log(spark, landed(spark, sf_dir, "events")))
     return stats.withColumns({"first_time": _time("first_time"), "last_time": _time("last_time")})
@@ -395,6 +534,11 @@ def gap_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def gap_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = read_log(spark, landed(spark, sf_dir, "events"))
+    return offsets.gap_ranges(log, by=["publisher", "topic"])
+
+
 # Routing
 
 
@@ -457,7 +601,7 @@ def demux_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     store_by_tag(stream, out, position, formats).awaitTermination()
     tables = []
     for name, number in (("clicks", "value.k"), ("events", "value.k"), ("texts", "NULL")):
-        stored = spark.read.parquet(f"{out}/{name}")
+        stored = read_tag(spark, out, name, formats)
         tables.append(stored.selectExpr(f"'{name}' AS tag", "id", "topic", f"CAST({number} AS INT) AS k"))
     return routing.fan_in(*tables)
 
@@ -474,6 +618,7 @@ _QUERIES: list[Query] = [
     log_stream_scan,
     land_log,
     offset_slice,
+    slice_mixed_log,
     empty_slice,
     landed_text_import,
     topic_filter,
@@ -483,9 +628,14 @@ _QUERIES: list[Query] = [
     offset_slices,
     batch_by_count,
     batch_by_bytes,
+    byte_batches,
+    both_batches,
     resume_after_restart,
     retention_window,
+    retention_consumed,
+    backfill_then_tail,
     clean_session,
+    clean_session_late,
     multi_subscribe,
     encode_payload,
     encode_single,
@@ -498,17 +648,22 @@ _QUERIES: list[Query] = [
     decode_csv,
     decode_custom,
     decode_rows,
+    decode_dead_letters,
     tokenize,
     word_count,
     word_count_batch,
     word_count_publish,
     window_counts,
+    window_counts_update,
     window_counts_append,
     window_counts_sliding,
     dedupe_redelivery,
     dedupe_batch,
+    dedupe_last_n,
+    dedupe_last_n_stream,
     topic_stats,
     gap_check,
+    gap_ranges,
     fan_in,
     route_fanout,
     route_fanout_by_topic,

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
-from datetime import datetime, timezone
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.envelope import ENVELOPE, LOG_SCHEMA, METADATA, LogOptions
@@ -15,9 +16,10 @@ from tidelog.sources.layout import LogFolder
 
 # The file stream would leave out files this much older than the newest it has seen.
 _ANY_AGE = "36500d"
+_FENCE = "_session_start.json"  # in the checkpoint's folder
 
 
-def subscribe(spark: SparkSession, options: LogOptions | Mapping[str, Any]) -> DataFrame:
+def subscribe(spark: SparkSession, options: LogOptions | Mapping[str, Any], after: int | None = None) -> DataFrame:
     """A stream of the messages under one topic filter.
 
     The position lives in the checkpoint of the query that uses the stream, so
@@ -26,7 +28,11 @@ def subscribe(spark: SparkSession, options: LogOptions | Mapping[str, Any]) -> D
     count makes each micro-batch one landed file, which ``append_batch`` kept
     within the limit, so the log must have been landed under such a limit and
     ``maxFilesPerTrigger`` cannot go with it; a limit by bytes alone is applied by
-    the file stream, file by file.
+    the file stream, file by file. ``after`` leaves out messages up to an offset.
+
+    A clean session begins at the end of the log: batches that are complete when it begins are left out, whatever
+    times their messages carry, and all that is landed later arrives. Where it began is kept beside the position if ``checkpointLocation``
+    names the checkpoint of the query; started again with it, the session goes on. Without it each subscription is a new session.
     """
     chosen = LogOptions.of(options)
     folder = LogFolder(spark, chosen.path)
@@ -34,7 +40,7 @@ def subscribe(spark: SparkSession, options: LogOptions | Mapping[str, Any]) -> D
     if chosen.max_batch_messages and (chosen.max_files_per_trigger or 1) > 1:
         raise ValueError("maxBatchMessageNum takes one file for each batch: leave maxFilesPerTrigger out")
     if chosen.max_batch_messages:
-        folder.check_limit(chosen.max_batch_messages)
+        folder.keep_to_limit(chosen.max_batch_messages)
     if chosen.max_batch_bytes and chosen.max_files_per_trigger:
         raise ValueError("give maxBatchMessageSize or maxFilesPerTrigger, not both")
     reader = spark.readStream.schema(LOG_SCHEMA).option("maxFileAge", _ANY_AGE)
@@ -48,13 +54,43 @@ def subscribe(spark: SparkSession, options: LogOptions | Mapping[str, Any]) -> D
         reader = reader.option("cleanSource", chosen.clean_source)
     if chosen.archive_dir:
         reader = reader.option("sourceArchiveDir", chosen.archive_dir)
-    return _delivered(reader.parquet(chosen.path), chosen)
+    stored = reader.parquet(chosen.path)
+    if after is not None:
+        stored = stored.where(F.col("offset") > after)
+    if chosen.clean_session and not chosen.start_timestamp:
+        stored = stored.where(_beyond(session_start(spark, chosen)))
+    return delivered(stored, chosen)
+
+
+def session_start(spark: SparkSession, options: LogOptions) -> dict[str, int]:
+    """The last batch of each publisher when the clean session began, kept with the checkpoint where one is named."""
+    if options.checkpoint:
+        kept = LogFolder(spark, options.checkpoint)
+        if _FENCE in kept.names(kept.path):
+            return json.loads(kept.read_text(f"{kept.path}/{_FENCE}"))
+    folder = LogFolder(spark, options.path)
+    done = {publisher: folder.batches(publisher) for publisher in folder.publishers()}
+    fence = {publisher: batches[-1] for publisher, batches in done.items() if batches}
+    if options.checkpoint:  # whole or not at all
+        kept.make(kept.path)
+        kept.write_text(f"{kept.path}/{_FENCE}.new", json.dumps(fence))
+        kept.move(f"{kept.path}/{_FENCE}.new", f"{kept.path}/{_FENCE}")
+    return fence
+
+
+def _beyond(fence: dict[str, int]) -> Column:
+    """A condition on the folders alone, so that files behind the fence are not opened."""
+    behind = [(F.col("publisher") == publisher) & (F.col("batch_id") <= batch) for publisher, batch in fence.items()]
+    return ~reduce(Column.__or__, behind, F.lit(False))
 
 
 def read_messages(spark: SparkSession, options: LogOptions | Mapping[str, Any]) -> DataFrame:
     """The same messages as :func:`subscribe`, as a bounded frame."""
     chosen = LogOptions.of(options)
-    return _delivered(read_log(spark, chosen.path), chosen)
+    stored = read_log(spark, chosen.path)
+    if chosen.clean_session and not chosen.start_timestamp:
+        stored = stored.where(_beyond(session_start(spark, chosen)))
+    return delivered(stored, chosen)
 
 
 def read_log(spark: SparkSession, log: str) -> DataFrame:
@@ -65,13 +101,17 @@ def read_log(spark: SparkSession, log: str) -> DataFrame:
 def read_slice(spark: SparkSession, log: str, end: int, start: int | None = None) -> DataFrame:
     """Messages with ``start < offset <= end``; no start means from the beginning.
 
-    The log must have numbered messages, or none at all.
+    All messages of the log must be numbered. Only batches, and of those at the ends only files, that hold such offsets
+    are listed and opened; the log's index tells which these are.
     """
     after = -1 if start is None else start
     if end < after:
         raise ValueError(f"the slice ends at {end}, before its start {after}")
-    LogFolder(spark, log).check_numbered()
-    return read_log(spark, log).where((F.col("offset") > after) & (F.col("offset") <= end))
+    paths = LogFolder(spark, log).files_between(after, end)
+    if not paths:
+        return spark.createDataFrame([], LOG_SCHEMA)
+    rows = spark.read.schema(LOG_SCHEMA).option("basePath", log).parquet(*paths)
+    return rows.where((F.col("offset") > after) & (F.col("offset") <= end))
 
 
 def read_newest(spark: SparkSession, log: str, keep: int = 1) -> DataFrame:
@@ -87,11 +127,11 @@ def last_offset(spark: SparkSession, log: str) -> int:
     return LogFolder(spark, log).last_offset()
 
 
-def _delivered(stored: DataFrame, chosen: LogOptions) -> DataFrame:
+def delivered(stored: DataFrame, chosen: LogOptions) -> DataFrame:
+    """The wanted messages of stored rows, as a subscription gives them."""
     wanted = stored.where(matches("topic", chosen.topic))
-    if chosen.clean_session or chosen.start_timestamp:
-        since = chosen.start_timestamp or datetime.now(timezone.utc)
-        wanted = wanted.where(F.col("timestamp") > F.lit(since).cast("timestamp"))
+    if chosen.start_timestamp:
+        wanted = wanted.where(F.col("timestamp") > F.lit(chosen.start_timestamp).cast("timestamp"))
     columns = [F.col(field.name) for field in ENVELOPE.fields]
     if chosen.metadata:
         capped = F.least(F.col("qos"), F.lit(chosen.qos)).alias("qos")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tidelog.sources.layout import LogFolder, expire
+from tidelog.sources.layout import LogFolder
+from tidelog.sources.positions import expire
 
 _RESULTS = "results"
 _RETAINED = 2

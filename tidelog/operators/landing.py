@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tidelog.operators.admission import batches_in_turn
 from tidelog.operators.offsets import number_rows, with_batches
 
-_TIE, _PLACE, _RANGE = "__tie", "__place", "__range"
+_TIE, _PLACE, _RANGE = "__row_hash", "__read_by", "__range"  # other names than those of number_rows
 _RANK = (1 << 33) - 1  # monotonically_increasing_id keeps the row's rank in its low 33 bits
 # Range bounds are part of the plan: one key for each range. Beyond that ranges get larger.
 _MOST_RANGES = 1 << 13

@@ -55,3 +55,15 @@ def test_repeated_and_empty_tables(spark):
     assert [row["verdict"] for row in url_rules.judge(pages, rules).collect()] == ["block"] * 3
     assert url_rules.judge(pages.limit(0), rules).count() == 0
     assert [row["verdict"] for row in url_rules.judge(pages, rules.limit(0)).collect()] == ["allow"] * 3
+
+
+def test_ids_come_back_as_they_are(spark):
+    ids = [2**53 - 1, 2**53 + 1, 2**60 + 1, 2**60 + 3, 2**63 - 1, -(2**63), -(2**53) - 1, None, 0, None, 2**62 + 1]
+    pages = spark.createDataFrame([(i, f"http://{'ab'[n % 2]}.com/{n}") for n, i in enumerate(ids)], "page_id long, url string")
+    rules = spark.createDataFrame([("a.com", "/", "block"), ("com", "/", "allow")], RULES)
+    rows = url_rules.judge(pages, rules).collect()
+    wanted = {(i, f"/{n}", "block" if n % 2 == 0 else "allow") for n, i in enumerate(ids)}
+    assert {(row["page_id"], row["path"], row["verdict"]) for row in rows} == wanted and len(rows) == len(ids)
+    named = pages.selectExpr("CAST(page_id AS STRING) AS page_id", "url")
+    found = {(row["page_id"], row["path"]) for row in url_rules.judge(named, rules).collect()}
+    assert found == {(i if i is None else str(i), f"/{n}") for n, i in enumerate(ids)}

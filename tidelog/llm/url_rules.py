@@ -14,6 +14,7 @@ from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,10 +76,12 @@ def judge(
     splitters = sorted({held[i * len(held) // count] for i in range(1, count)}) if held else []
     first_keys = [key for key, _ in splitters]
 
-    def deal_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # ids stay Arrow values throughout: pandas has no whole numbers beside nulls
+    def deal_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch.insert(0, "range", [bisect_right(splitters, pair) for pair in zip(batch["key"], batch["part"])])
-            yield batch
+            pairs = zip(batch.column("key").to_pylist(), batch.column("part").to_pylist())
+            ranges = pa.array([bisect_right(splitters, pair) for pair in pairs], pa.int64())
+            yield pa.RecordBatch.from_arrays([ranges, *batch.columns], ["range", *batch.schema.names])
 
     def deal_rules(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -90,7 +93,7 @@ def judge(
 
     row_id = f"id {keyed.schema['id'].dataType.simpleString()}"
     columns = f"range long, key string, part long, {row_id}, host string, path string"
-    urls = keyed.mapInPandas(deal_pages, columns).withColumn("verdict", F.lit(None).cast("string"))
+    urls = keyed.mapInArrow(deal_pages, columns).withColumn("verdict", F.lit(None).cast("string"))
     parsed = parse_rules(rules)
     starts = (
         parsed.select(host_key(F.col("host")).alias("key"), "host", "path", "verdict")
@@ -101,25 +104,25 @@ def judge(
     placed = events.repartitionById(len(splitters) + 1, F.col("range").cast("int"))
     ordered = placed.sortWithinPartitions("range", "key", "kind", "part")
 
-    def sweep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         stack: list[tuple[str, dict[str, str], list[int]]] = []
         for batch in batches:
             chosen = []
-            for key, host, path, verdict in zip(batch["key"], batch["host"], batch["path"], batch["verdict"]):
+            parts = [batch.column(name).to_pylist() for name in ("key", "host", "path", "verdict")]
+            for key, host, path, verdict in zip(*parts):
                 while stack and not key.startswith(stack[-1][0]):
                     stack.pop()
-                if isinstance(verdict, str):
+                if verdict is not None:
                     open_rule(stack, key, host, path, verdict)
-                    chosen.append(None)
                 else:
                     chosen.append(longest(stack, path))
-            out = batch[["id", "host", "path"]].assign(
-                rule=[rule and rule[2] for rule in chosen],
-                verdict=[rule[3] if rule else default for rule in chosen],
-            )
-            yield out[(batch["kind"] == 1).to_numpy()]
+            pages = batch.filter(batch.column("verdict").is_null())
+            rules = pa.array([rule and rule[2] for rule in chosen], pa.string())
+            verdicts = pa.array([rule[3] if rule else default for rule in chosen], pa.string())
+            columns = [*(pages.column(name) for name in ("id", "host", "path")), rules, verdicts]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "host", "path", "rule", "verdict"])
 
-    judged = ordered.mapInPandas(sweep, f"{row_id}, host string, path string, rule string, verdict string")
+    judged = ordered.mapInArrow(sweep, f"{row_id}, host string, path string, rule string, verdict string")
     return judged.withColumnRenamed("id", id_col)
 
 

@@ -2,15 +2,16 @@
 
 Splitters sampled by Spark deal the texts out by ranges of their normalised
 beginning; an external sort places equal texts next to each other, and a sorted
-aggregate compares each whole text with its neighbour. The ranges also split by the
-task that read a row, so that a group of copies of any size is spread over as many
-ranges as it fills; each range gives one row for a group and reading task, and only these
-small rows are joined up by digest.
+aggregate compares each whole text with its neighbour. This is done twice. First the ranges also
+split by the task that read a row, so that a group of copies of any size is spread over as many
+ranges as it fills; that leaves one row for a text and reading task. Then these rows are dealt by beginning and hash
+alone, so that equal texts of all tasks lie next to each other. A text never lies across the edge of a range.
+The digest that groups are named by finds no copies.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import lower_ascii, stored
@@ -34,20 +35,25 @@ def copy_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.xxhash64("content").alias("digest"),
         F.spark_partition_id().alias("reader"),
     )
-    ranges = ["beginning", "digest", "reader"]
     best = F.max if largest else F.min
-    runs = (
-        rows.repartitionByRange(*ranges)
-        .sortWithinPartitions(*ranges, "content")
-        .groupBy(*ranges, "content")
-        # a struct keeps Spark to its sorted aggregate: neighbours are compared, nothing is hashed
-        .agg(best(F.when(F.col("id").isNotNull(), F.struct("id"))).alias("best"), F.count(F.lit(1)).alias("copies"))
-        .select(F.sha2("content", 256).alias("text_sha256"), F.col("best.id").alias("best"), "copies")
+    own = F.when(F.col("id").isNotNull(), F.struct("id"))
+    read = _neighbours(rows, ["beginning", "digest", "reader"], best(own).alias("best"), F.count(F.lit(1)).alias("copies"))
+    whole = _neighbours(read, ["beginning", "digest"], best("best").alias("best"), F.sum("copies").alias("copies"))
+    groups = whole.select(
+        F.sha2("content", 256).alias("text_sha256"), F.col("best.id").alias("keep_id"), F.col("copies").alias("group_size")
     )
-    groups = runs.groupBy("text_sha256").agg(best("best").alias("keep_id"), F.sum("copies").alias("group_size"))
     return stored(groups, "copy-groups")
 
 
+def _neighbours(rows: DataFrame, ranges: list[str], *aggregates: Column) -> DataFrame:
+    """Equal texts of a range of ``ranges`` as one row, by a comparison of whole neighbours.
+
+    A struct among the aggregates keeps Spark to its sorted aggregate: nothing is hashed.
+    """
+    ordered = rows.repartitionByRange(*ranges).sortWithinPartitions(*ranges, "content")
+    return ordered.groupBy(*ranges, "content").agg(*aggregates)
+
+
 def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", largest: bool = False) -> DataFrame:
     """One row for each document: its id, keep_id, group_size, kept, text_sha256.
 

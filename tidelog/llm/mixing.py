@@ -129,10 +129,13 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix itself: each document as often as it is taken, with all columns of the input.
 
-    Rows that repeat an id are taken equally often, as often as the one of them taken most.
+    Rows that repeat an id, those without one among them, are taken equally often, as often as the one of them taken most.
     """
+    turn = "turn"
+    while turn in docs.columns:  # the caller's columns all stay
+        turn += "_"
     copies = mix(docs, id_col, text_col, source_col).groupBy(id_col).agg(F.max("copies").alias("times taken"))
     copies = copies.where(F.col("times taken") > 0).withColumnRenamed(id_col, "taken id")
     taken = docs.join(copies, docs[id_col].eqNullSafe(copies["taken id"]))
     each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("times taken")))
-    return taken.select(*[docs[name] for name in docs.columns], each.alias("turn")).drop("turn")
+    return taken.select(*[docs[name] for name in docs.columns], each.alias(turn)).drop(turn)

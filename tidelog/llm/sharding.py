@@ -75,7 +75,16 @@ def _cells(rows: DataFrame, depth: int, limit_bytes: int) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit_bytes: int = LIMIT_BYTES) -> None:
-    """Write the documents as Parquet, one folder for each shard, named by its bits."""
-    shards = assign(docs, id_col, text_col, limit_bytes).select(F.col(id_col).alias("sharded id"), "shard").distinct()
+    """Write the documents as Parquet, one folder for each shard, named by its bits.
+
+    The folders' column is called ``shard``, with as many ``_`` behind it as keep it apart from the columns of the input.
+    Rows that repeat an id go to the same shard; a null text is empty, an empty table writes no shard.
+    """
+    name = "shard"
+    while name in docs.columns:
+        name += "_"
+    shards = assign(docs, id_col, text_col, limit_bytes).select(
+        F.col(id_col).alias("sharded id"), F.col("shard").alias(name)
+    ).distinct()
     joined = docs.join(shards, docs[id_col].eqNullSafe(shards["sharded id"])).drop("sharded id")
-    joined.repartition("shard").write.partitionBy("shard").parquet(path)
+    joined.repartition(name).write.partitionBy(name).parquet(path)

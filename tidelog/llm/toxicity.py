@@ -1,9 +1,9 @@
 """Toxicity of a text: a convolutional classifier over hashed word embeddings.
 
-A word is hashed to 32 bits; hashes seen in enough learning texts have an embedding, all others the
-zero vector. Filters of several widths run over the words, each is pooled by its
-maximum over the whole text, and a logistic layer gives the score. It is trained in numpy
-on a bounded sample of labelled texts, gathered as hashes. The model also knows
+Every word has an embedding: the sum of those of a few buckets, to which the word and its beginnings are hashed, so that
+inflected forms share what is learnt. A bucket that no learning text touched is zero. Filters of several
+widths run over the words, each is pooled by its maximum over the whole text, and a logistic layer gives the score. It is trained in numpy
+on a bounded sample of labelled texts, in which languages and classes are balanced. The model also knows
 from its learning texts how often each word comes up in each language; the language it
 finds in the words of a text, no column, selects the threshold, and the score is shifted so that
 the threshold is 0.5. Thresholds are set on all labelled texts that the filters were not fitted on,
@@ -14,19 +14,23 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 WIDTHS = (1, 2, 3)
 FILTERS = 8
 WIDTH_OF_EMBEDDING = 16
 SAMPLE_ROWS = {1: 4_000, 0: 8_000}
-MOST_WORDS = 1 << 17
+# and so many characters in all texts of a class; texts are taken whole or not at all
+SAMPLE_CHARS = {1: 16_000_000, 0: 32_000_000}
+BUCKETS = 1 << 17
+# Beginnings of a word's UTF-8 bytes that are hashed, beside the whole word.
+BEGINNINGS = (4, 5, 6, 7, 8)
 EPOCHS = 12
 _BATCH = 64
 _LEAST_STEPS = 800
@@ -35,41 +39,32 @@ _HIDDEN = 0.2
 _LEAST_TOXIC = 20
 # Logits are counted in bins of equal width of their inverse hyperbolic sine.
 _BINS = 256
-_KNOWN_WORDS = 500_000
+_KNOWN_WORDS = 200_000
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
-def word_hashes(text: str) -> list[int]:
-    return [zlib.crc32(word.encode("utf-8", "surrogatepass")) for word in _WORDS.findall(text.lower())]
+def word_buckets(word: str) -> list[int]:
+    """The bucket of the whole word, then those of its beginnings."""
+    raw = word.encode("utf-8", "surrogatepass")
+    buckets = [zlib.crc32(raw) % BUCKETS]
+    buckets += [zlib.crc32(raw[:length], length) % BUCKETS for length in BEGINNINGS if length < len(raw)]
+    return buckets
 
 
 @dataclass
 class ToxicityModel:
-    rows: dict[int, int] = field(default_factory=dict)  # word hash to row; row 0 is any other word
-    filters: np.ndarray | None = None  # rows x (sum of widths * FILTERS): embedding times each filter's columns
+    filters: np.ndarray | None = None  # buckets x (sum of widths * FILTERS): embedding times each filter's columns
     bias: np.ndarray | None = None  # of the filters, widths x FILTERS
     weights: np.ndarray | None = None  # of the pooled filters
     constant: float = 0.0
-    by_language: np.ndarray | None = None  # rows x languages, log-probability of a word
+    by_language: np.ndarray | None = None  # buckets x languages, log-probability of a word
     thresholds: np.ndarray | None = None  # one for each language
 
-    def ids(self, hashes: list[int]) -> np.ndarray:
-        return np.fromiter((self.rows.get(h, 0) for h in hashes), np.int64, len(hashes))
-
-    def logit(self, ids: np.ndarray) -> float:
-        pooled = pool([self.filters[ids, first:last] for first, last in spans()], len(ids))[0]
+    def logit(self, responses: np.ndarray) -> float:
+        """Of a text as one row of filter responses for each word."""
+        pooled = pool([responses[:, first:last] for first, last in spans()], len(responses))[0]
         return float(np.maximum(pooled + self.bias, 0).ravel() @ self.weights + self.constant)
 
-    def language(self, ids: np.ndarray) -> int:
-        return int(self.by_language[ids].sum(axis=0, dtype=np.float64).argmax())
-
-    def score(self, ids: np.ndarray) -> float:
-        """Of a text as rows of words, 0 to 1, with the threshold at 0.5."""
-        if self.filters is None:
-            return 0.0
-        shifted = self.logit(ids) - self.thresholds[self.language(ids)]
-        return float(1 / (1 + np.exp(-np.clip(shifted, -500, 500))))
-
 
 def spans() -> list[tuple[int, int]]:
     """Columns of each filter bank's offsets, one after the other."""
@@ -106,7 +101,10 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, lang_
     ]
     chosen = F.broadcast(drawn[0].union(drawn[1]))  # bounded by SAMPLE_ROWS
     known = docs.select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(lang_col).alias("lang"))
-    return known.join(chosen, id_col)
+    rows = known.join(chosen, id_col).select(F.xxhash64(id_col).alias("draw"), "label", "lang", "text")
+    before = Window.partitionBy("label").orderBy("draw", "text")
+    bound = F.when(F.col("label") == 1, SAMPLE_CHARS[1]).otherwise(SAMPLE_CHARS[0])
+    return rows.withColumn("upto", F.sum(F.length("text")).over(before)).where(F.col("upto") <= bound).drop("upto")
 
 
 def fit(
@@ -115,34 +113,24 @@ def fit(
 ) -> ToxicityModel:
     """Train on labelled documents where ``usable``, a condition on the id, holds.
 
-    The driver gets word hashes of at most SAMPLE_ROWS texts, and counts of the scores of all
+    The driver gets at most SAMPLE_ROWS texts of each class, of SAMPLE_CHARS characters in all, and counts of the scores of all
     labelled documents, by which the thresholds are set. Of rows that repeat an id in
     ``labels`` the larger label counts; null labels and other values than 0 and 1 are
     left out. Without labelled documents of both classes the model scores 0.
     """
     labels = marked(labels.select(F.col(id_col), F.col(label_col).alias("label")), usable, id_col)
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = [np.array(word_hashes(text), "<u4").tobytes() for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("draw"), batch.column("label"), batch.column("lang"), pa.array(words, pa.binary())],
-                ["draw", "label", "lang", "words"],
-            )
-
-    known = sample(docs, labels, id_col, text_col, lang_col)
-    drawn = known.select(F.xxhash64(id_col).alias("draw"), "label", "lang", "text")
-    rows = drawn.mapInArrow(hashed, "draw long, label int, lang string, words binary").collect()
-    rows.sort(key=lambda row: (row["draw"], bytes(row["words"])))  # the same order, and model, in each run
-    held = np.arange(len(rows)) % 5 == 4
+    rows = sample(docs, labels, id_col, text_col, lang_col).orderBy("draw", "text").toArrow()  # the same order, and model, in each run
+    draws = rows.column("draw").to_pylist()
+    held = np.arange(len(draws)) % 5 == 4
     model = train(
-        [np.frombuffer(bytes(row["words"]), "<u4") for row in rows],
-        np.array([row["label"] for row in rows], np.float32),
-        [row["lang"] or "" for row in rows],
+        rows.column("text"),
+        rows.column("label").to_numpy().astype(np.float32),
+        [language or "" for language in rows.column("lang").to_pylist()],
         held,
     )
     if model.filters is not None:
-        learnt = {row["draw"] for row, out in zip(rows, held) if not out}
+        learnt = {draw for draw, out in zip(draws, held) if not out}
         _fit_thresholds(model, *_counted(docs.where(usable), labels, model, learnt, id_col, text_col))
     return model
 
@@ -152,46 +140,78 @@ def _counted(
 ) -> list[np.ndarray]:
     """How many labelled documents there are by language found, logit, label and whether they were learnt from.
 
-    Texts are scored where they are read, so that only ids meet their labels; ``learnt`` are
+    Texts meet their labels first, so that none is scored without need; ``learnt`` are
     hashes of ids. One row comes back for each bin of logits in use, at most.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    id_type = read.schema["id"].dataType.simpleString()
+    seen = spark.createDataFrame([(draw, True) for draw in sorted(learnt)], "draw long, learnt boolean")
+    known = docs.select(F.col(id_col), F.col(text_col).alias("text")).join(labels, id_col).select(
+        "label", "text", F.xxhash64(id_col).alias("draw")
+    )
+    read = known.join(F.broadcast(seen), "draw", "left").select("label", F.coalesce("learnt", F.lit(False)).alias("learnt"), "text")
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, rows = shared.value, _Scorer(shared.value)
+        scorer = _Scorer(shared.value)
         for batch in batches:
-            texts = [rows.ids(text.as_py() or "") for text in batch.column("text")]
-            found = pa.array([model.language(text) for text in texts], pa.int32())
-            bins = pa.array([round(float(np.arcsinh(model.logit(text))) * _BINS) for text in texts], pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), found, bins], ["id", "found", "bin"])
+            marks = [scorer.mark(text.as_py() or "") for text in batch.column("text")]
+            found = pa.array([language for language, _ in marks], pa.int32())
+            bins = pa.array([round(float(np.arcsinh(logit)) * _BINS) for _, logit in marks], pa.int32())
+            yield pa.RecordBatch.from_arrays([found, bins, *batch.columns[:2]], ["found", "bin", "label", "learnt"])
 
-    scored = read.mapInArrow(placed, f"id {id_type}, found int, bin int").withColumnRenamed("id", id_col)
-    seen = spark.createDataFrame([(draw, True) for draw in sorted(learnt)], "draw long, learnt boolean")
-    known = scored.join(labels, id_col).withColumn("draw", F.xxhash64(id_col)).join(F.broadcast(seen), "draw", "left")
-    rows = known.groupBy("found", "bin", "label", F.coalesce("learnt", F.lit(False)).alias("learnt")).count().collect()
+    scored = read.mapInArrow(placed, "found int, bin int, label int, learnt boolean")
+    rows = scored.groupBy("found", "bin", "label", "learnt").count().collect()
     columns = np.array([tuple(row) for row in rows], np.int64).reshape(-1, 5).T
     return [columns[0], np.sinh(columns[1] / _BINS), columns[2], columns[3] == 1, columns[4]]
 
 
-def train(texts: list[np.ndarray], labels: np.ndarray, languages: list[str], held: np.ndarray) -> ToxicityModel:
-    """The model, without thresholds, of texts given as word hashes. The ``held`` ones only choose the pass."""
+class _Vocabulary:
+    """The words of the learning texts, numbered, and the buckets of each, one after the other."""
+
+    def __init__(self, texts: Iterable[pa.Scalar]):
+        numbers: dict[str, int] = {}
+        self.texts = [
+            np.array([numbers.setdefault(word, len(numbers)) for word in _WORDS.findall(text.as_py().lower())], np.int64)
+            for text in texts
+        ]
+        buckets = [word_buckets(word) for word in numbers]
+        self.sizes = np.array([len(own) for own in buckets], np.int64)
+        self.firsts = np.cumsum(self.sizes) - self.sizes
+        self.buckets = np.array([bucket for own in buckets for bucket in own], np.int64)
+
+    def of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Buckets of some words, and where those of each word begin."""
+        sizes = self.sizes[words]
+        begins = np.cumsum(sizes) - sizes
+        places = np.repeat(self.firsts[words] - begins, sizes) + np.arange(sizes.sum())
+        return self.buckets[places], begins
+
+
+def train(texts: Iterable[pa.Scalar], labels: np.ndarray, languages: list[str], held: np.ndarray) -> ToxicityModel:
+    """The model, without thresholds. The ``held`` texts only choose the pass."""
     model = ToxicityModel()
     if len(set(labels.tolist())) < 2:
         return model
-    seen, in_texts = np.unique(np.concatenate([np.unique(text) for text in texts]), return_counts=True)
-    least = 3 if len(texts) > 1000 else 2
-    frequent = seen[np.lexsort((seen, -in_texts))][:MOST_WORDS]
-    frequent = frequent[in_texts[np.searchsorted(seen, frequent)] >= least]
-    model.rows = {int(word): row for row, word in enumerate(frequent, 1)}
-    ids = [model.ids(text.tolist()) for text in texts]
-    _fit_filters(model, ids, labels, np.flatnonzero(~held), np.flatnonzero(held))
-    _fit_languages(model, ids, languages)
+    words = _Vocabulary(texts)
+    _fit_filters(model, words, labels, _balance(labels, languages, ~held), np.flatnonzero(~held), np.flatnonzero(held))
+    _fit_languages(model, words, languages)
     return model
 
 
+def _balance(labels: np.ndarray, languages: list[str], learning: np.ndarray) -> np.ndarray:
+    """A weight for each text: both classes of a language weigh the same, and a rare language, up to a point, as much as others."""
+    own = np.array(languages, object)
+    weights = np.ones(len(labels), np.float64)
+    largest = max(((own == language) & learning).sum() for language in set(languages))
+    for language in set(languages):
+        rows = own == language
+        share = min(4.0, np.sqrt(largest / max(1, (rows & learning).sum())))
+        toxic = max(1, (rows & learning & (labels == 1)).sum())
+        clean = max(1, (rows & learning & (labels == 0)).sum())
+        weights[rows] = share * np.where(labels[rows] == 1, min(20.0, max(1.0, clean / toxic)), 1.0)
+    return weights
+
+
 class _Adam:
     """Adam's steps for one array; ``rows`` limits a step to those."""
 
@@ -207,77 +227,85 @@ class _Adam:
         self.value[rows] -= size * self.mean[rows] / (np.sqrt(self.square[rows]) + 1e-8)
 
 
-def _loss(logits: np.ndarray, labels: np.ndarray, positive: float) -> float:
-    return float((np.logaddexp(0, np.where(labels == 1, -logits, logits)) * np.where(labels == 1, positive, 1.0)).mean())
+def _loss(logits: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> float:
+    return float((np.logaddexp(0, np.where(labels == 1, -logits, logits)) * weights).mean())
 
 
-def _fit_filters(model: ToxicityModel, ids: list[np.ndarray], labels: np.ndarray, train_on: np.ndarray, held: np.ndarray) -> None:
+def _fit_filters(
+    model: ToxicityModel, words: _Vocabulary, labels: np.ndarray, balance: np.ndarray, train_on: np.ndarray, held: np.ndarray
+) -> None:
     """Passes over the learning texts; what stays is the pass that does best on the held ones."""
     draw = np.random.default_rng(7)
-    banks = len(WIDTHS)
-    embedding = _Adam(draw.normal(0, 0.1, (len(model.rows) + 1, WIDTH_OF_EMBEDDING)).astype(np.float32), 0.02)
-    embedding.value[0] = 0
+    banks, ids = len(WIDTHS), words.texts
+    embedding = _Adam(np.zeros((BUCKETS, WIDTH_OF_EMBEDDING), np.float32), 0.02)
     kernel = _Adam(draw.normal(0, 0.3, (WIDTH_OF_EMBEDDING, sum(WIDTHS) * FILTERS)).astype(np.float32), 0.01)
-    bias = _Adam(np.zeros((banks, FILTERS), np.float32), 0.01)
+    bias = _Adam(np.full((banks, FILTERS), 0.1, np.float32), 0.01)
     weights = _Adam(draw.normal(0, 0.3, banks * FILTERS).astype(np.float32), 0.01)
     constant = _Adam(np.array([-1.0], np.float32), 0.01)
-    positive = max(1.0, float((labels[train_on] == 0).sum()) / max(1.0, float((labels[train_on] == 1).sum())))
     offsets = [(bank, offset) for bank, width in enumerate(WIDTHS) for offset in range(width)]
     passes = max(EPOCHS, _LEAST_STEPS * _BATCH // max(1, len(train_on)))
     best_loss = np.inf
     for _ in range(passes):
         for batch in np.array_split(draw.permutation(train_on), max(1, len(train_on) // _BATCH)):
-            # some words are hidden, so that no text is learnt by heart
-            shown = {i: np.where(draw.random(len(ids[i])) < _HIDDEN, 0, ids[i]) for i in batch}
-            table_rows, inverse = np.unique(np.concatenate([shown[i] for i in batch]), return_inverse=True)
-            responses = embedding.value[table_rows] @ kernel.value
-            by_row = np.zeros_like(responses)
+            used_words, inverse = np.unique(np.concatenate([ids[i] for i in batch]), return_inverse=True)
+            if len(used_words):
+                buckets, begins = words.of(used_words)
+                responses = np.add.reduceat(embedding.value[buckets], begins) @ kernel.value
+            else:
+                responses = np.zeros((0, kernel.value.shape[1]), np.float32)
+            by_word = np.zeros_like(responses)
             gradients = [np.zeros_like(x.value) for x in (bias, weights, constant)]
             first = 0
             for i in batch:
-                words = len(ids[i])
-                own = inverse[first : first + words]
-                first += words
-                best, where = pool([responses[own, a:b] for a, b in spans()], words)
+                count = len(ids[i])
+                own = inverse[first : first + count]
+                first += count
+                text = responses[own]
+                shown = draw.random(count) >= _HIDDEN  # some words are hidden, so that no text is learnt by heart
+                text[~shown] = 0
+                best, where = pool([text[:, a:b] for a, b in spans()], count)
                 active = np.maximum(best + bias.value, 0)
                 z = float(active.ravel() @ weights.value + constant.value[0])
-                error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[i]) * (positive if labels[i] else 1.0) / len(batch)
+                error = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[i]) * balance[i] / len(batch)
                 back = error * weights.value.reshape(active.shape) * (active > 0)
                 gradients[0] += back
                 gradients[1] += error * active.ravel()
                 gradients[2] += error
-                if words:
+                if count:
                     for column, (bank, offset) in enumerate(offsets):
                         at = where[bank] + offset
-                        inside = at < words
+                        inside = at < count
+                        inside[inside] = shown[at[inside]]
                         columns = column * FILTERS + np.arange(FILTERS)
-                        np.add.at(by_row, (own[at[inside]], columns[inside]), back[bank][inside])
-            used = np.flatnonzero(by_row.any(axis=1))
-            rows = table_rows[used]
-            to_embedding = by_row[used] @ kernel.value.T
-            kernel.update(embedding.value[rows].T @ by_row[used] + 1e-5 * kernel.value)
-            if len(rows):
-                to_embedding[rows == 0] = 0
-                embedding.update(to_embedding, rows)
-                embedding.value[0] = 0
+                        np.add.at(by_word, (own[at[inside]], columns[inside]), back[bank][inside])
+            used = np.flatnonzero(by_word.any(axis=1))
+            if len(used):
+                buckets, begins = words.of(used_words[used])
+                sums = np.add.reduceat(embedding.value[buckets], begins)
+                to_words = by_word[used] @ kernel.value.T
+                kernel.update(sums.T @ by_word[used] + 1e-5 * kernel.value)
+                rows, place = np.unique(buckets, return_inverse=True)
+                to_rows = np.zeros((len(rows), WIDTH_OF_EMBEDDING), np.float32)
+                np.add.at(to_rows, place, np.repeat(to_words, np.diff(begins, append=len(buckets)), axis=0))
+                embedding.update(to_rows, rows)
             for part, gradient in zip((bias, weights, constant), gradients):
                 part.update(gradient)
-        now = ToxicityModel(
-            model.rows, embedding.value @ kernel.value, bias.value.copy(), weights.value.copy(), float(constant.value[0])
-        )
-        loss = _loss(np.array([now.logit(ids[i]) for i in held]), labels[held], positive)
+        now = ToxicityModel(embedding.value @ kernel.value, bias.value.copy(), weights.value.copy(), float(constant.value[0]))
+        by_word = np.add.reduceat(now.filters[words.buckets], words.firsts) if len(words.firsts) else np.zeros((0, now.filters.shape[1]))
+        loss = _loss(np.array([now.logit(by_word[ids[i]]) for i in held]), labels[held], balance[held]) if len(held) else 0.0
         if loss < best_loss:
             best_loss = loss
             model.filters, model.bias, model.weights, model.constant = now.filters, now.bias, now.weights, now.constant
 
 
-def _fit_languages(model: ToxicityModel, ids: list[np.ndarray], languages: list[str]) -> None:
+def _fit_languages(model: ToxicityModel, words: _Vocabulary, languages: list[str]) -> None:
     names = sorted(set(languages))
-    counts = np.full((len(model.rows) + 1, len(names)), 0.5)
-    for text, language in zip(ids, languages):
-        np.add.at(counts[:, names.index(language)], text, 1)
-    counts[0] = 1  # words that are not known say nothing
-    model.by_language = np.log(counts / counts.sum(axis=0)).astype(np.float32)
+    counts = np.full((BUCKETS, len(names)), 0.5)
+    for text, language in zip(words.texts, languages):
+        np.add.at(counts[:, names.index(language)], words.buckets[words.firsts[text]], 1)
+    counts[(counts == 0.5).all(axis=1)] = counts.sum(axis=0)  # words that are not known say nothing
+    found = np.log(counts / counts.sum(axis=1, keepdims=True) / (counts.sum(axis=0) / counts.sum()))
+    model.by_language = found.astype(np.float32)
 
 
 def _fit_thresholds(
@@ -344,7 +372,10 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
-    """The documents that are not predicted toxic, with all columns of the input."""
+    """The documents that are not predicted toxic, with all columns of the input.
+
+    A null or empty text is judged as silence; rows that repeat an id are judged one by one; an empty table gives no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     place = docs.columns.index(text_col)
 
@@ -357,24 +388,49 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text") ->
 
 
 class _Scorer:
-    """Scores of a column of texts; rows of words seen before are kept, up to a fixed number."""
+    """Scores of texts; what the filters make of words seen before is kept, up to a fixed number of words."""
 
     def __init__(self, model: ToxicityModel):
         self._model = model
-        self._rows: dict[str, int] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self._numbers: dict[str, int] = {}
+        if self._model.filters is not None:
+            self._responses = np.zeros((1024, self._model.filters.shape[1]), np.float32)
+            self._languages = np.zeros((1024, self._model.by_language.shape[1]), np.float32)
 
     def __call__(self, texts: pa.Array) -> np.ndarray:
-        return np.array([self._model.score(self.ids(text.as_py() or "")) for text in texts], np.float64)
+        return np.array([self._score(text.as_py() or "") for text in texts], np.float64)
+
+    def _score(self, text: str) -> float:
+        """0 to 1, with the threshold at 0.5."""
+        if self._model.filters is None:
+            return 0.0
+        language, logit = self.mark(text)
+        return float(1 / (1 + np.exp(-np.clip(logit - self._model.thresholds[language], -500, 500))))
 
-    def ids(self, text: str) -> np.ndarray:
+    def mark(self, text: str) -> tuple[int, float]:
+        """The language found in a text, and its logit."""
+        if len(self._numbers) > _KNOWN_WORDS:
+            self._forget()
         words = _WORDS.findall(text.lower())
-        if len(self._rows) > _KNOWN_WORDS:
-            self._rows.clear()
-        ids = np.empty(len(words), np.int64)
-        for place, word in enumerate(words):
-            row = self._rows.get(word)
-            if row is None:
-                hashed = zlib.crc32(word.encode("utf-8", "surrogatepass"))
-                row = self._rows[word] = self._model.rows.get(hashed, 0)
-            ids[place] = row
-        return ids
+        new = [word for word in dict.fromkeys(words) if word not in self._numbers]
+        if new:
+            self._learn(new)
+        ids = np.array(list(map(self._numbers.__getitem__, words)), np.int64)
+        language = int(self._languages[ids].sum(axis=0, dtype=np.float64).argmax())
+        return language, self._model.logit(self._responses[ids])
+
+    def _learn(self, words: list[str]) -> None:
+        first = len(self._numbers)
+        last = first + len(words)
+        while last > len(self._responses):
+            self._responses = np.concatenate([self._responses, np.zeros_like(self._responses)])
+            self._languages = np.concatenate([self._languages, np.zeros_like(self._languages)])
+        buckets = [word_buckets(word) for word in words]
+        begins = np.cumsum([0, *map(len, buckets)])[:-1]
+        flat = np.array([bucket for own in buckets for bucket in own], np.int64)
+        self._responses[first:last] = np.add.reduceat(self._model.filters[flat], begins)
+        self._languages[first:last] = self._model.by_language[flat[begins]]
+        self._numbers.update(zip(words, range(first, last)))

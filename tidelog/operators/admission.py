@@ -27,44 +27,70 @@ _PARTS = "number BIGINT, low BIGINT, high BIGINT, bytes BIGINT"
 
 def batches_in_turn(
     sized: DataFrame, staging: str, max_bytes: int | None = None, max_messages: int | None = None,
-    rows_per_slice: int = 1 << 20,
+    rows_per_slice: int = 1 << 20, span: tuple[int, int] | None = None,
 ) -> DataFrame:
     """One row for each batch, stored: ``number`` from 0, ``low`` and ``high`` (first and last offset), ``bytes``.
 
     ``sized`` has dense ``offset`` and ``size``. A batch takes message after message until
-    the next would break a limit; a message above the limit of bytes is a batch by itself.
+    the next would break a limit; a message above the limit of bytes is a batch by itself. ``span`` is the first and
+    last offset, where they are known. A task gets whole slices and holds one at a time.
     """
+    spark = sized.sparkSession
     bits = rows_per_slice.bit_length() - 1
     limits = (max_bytes or _ENDLESS, max_messages or _ENDLESS)
+    first, last = span or tuple(sized.agg(F.min("offset"), F.max("offset")).first())
+    if first is None:
+        spark.createDataFrame([], _PARTS).write.mode("overwrite").parquet(staging)
+        return spark.read.schema(_PARTS).parquet(staging)
+    tasks = min((last >> bits) - (first >> bits) + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     sliced = sized.select(F.shiftright("offset", bits).alias("slice"), "offset", F.col("size").cast("long").alias("size"))
 
-    def steps(rows: pd.DataFrame) -> pd.DataFrame:
-        own = _Slice(rows, *limits)
-        return own.steps(int(rows["slice"].iloc[0]))
+    def steps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for slice_, rows in _whole_slices(batches):
+            yield _Slice(rows, *limits).steps(slice_)
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return _walk(batches, *limits)
 
-    def parts(key: tuple, rows: pd.DataFrame, entry: pd.DataFrame) -> pd.DataFrame:
-        own = _Slice(rows, *limits)
-        return own.parts(int(entry["open_bytes"].iloc[0]), int(entry["open_messages"].iloc[0]), int(entry["before"].iloc[0]))
+    def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _, rows in _whole_slices(batches):
+            entry = [int(rows[name].iloc[0]) for name in ("open_bytes", "open_messages", "before")]
+            yield _Slice(rows, *limits).parts(*entry)
 
-    # a few rows for each slice, in one task that holds one slice at a time
-    ordered = sliced.groupBy("slice").applyInPandas(steps, _STEPS).repartition(1).sortWithinPartitions("slice", "upto")
+    # a few rows for each slice, in one task that holds one slice's at a time
+    ordered = _by_slice(sliced, tasks).mapInPandas(steps, _STEPS).repartition(1).sortWithinPartitions("slice", "upto")
     entries = ordered.mapInPandas(walk, _ENTRIES)
-    found = sliced.groupBy("slice").cogroup(entries.groupBy("slice")).applyInPandas(parts, _PARTS)
+    known = sliced.join(F.broadcast(entries), "slice")  # one row for each slice
+    found = _by_slice(known, tasks).mapInPandas(parts, _PARTS)
     whole = found.groupBy("number").agg(
         F.min("low").alias("low"), F.max("high").alias("high"), F.sum("bytes").alias("bytes")
     )
-    whole.write.mode("overwrite").parquet(staging)
-    return sized.sparkSession.read.schema(_PARTS).parquet(staging)
+    whole.coalesce(tasks).write.mode("overwrite").parquet(staging)
+    return spark.read.schema(_PARTS).parquet(staging)
+
+
+def _by_slice(rows: DataFrame, tasks: int) -> DataFrame:
+    placed = rows.repartitionById(tasks, F.pmod("slice", F.lit(tasks)).cast("int"))
+    return placed.sortWithinPartitions("slice", "offset")
+
+
+def _whole_slices(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, pd.DataFrame]]:
+    """Rows that come in the order of their slices, one slice after the other."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        for slice_, rows in batch.groupby("slice", sort=False):
+            if held and held[0]["slice"].iloc[0] != slice_:
+                yield int(held[0]["slice"].iloc[0]), pd.concat(held)
+                held = []
+            held.append(rows)
+    if held:
+        yield int(held[0]["slice"].iloc[0]), pd.concat(held)
 
 
 class _Slice:
-    """One slice's messages in order: sums of sizes and pointers beyond each message's batch."""
+    """One slice's messages, which come in order: sums of sizes and pointers beyond each message's batch."""
 
     def __init__(self, rows: pd.DataFrame, max_bytes: int, max_messages: int):
-        rows = rows.sort_values("offset")
         self.offsets = rows["offset"].to_numpy()
         self.sizes = rows["size"].to_numpy()
         self.max_bytes, self.max_messages = max_bytes, max_messages

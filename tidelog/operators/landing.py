@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelog.operators.admission import batches_in_turn
-from tidelog.operators.offsets import number_rows, with_batches
+from tidelog.operators.offsets import number_and_sum, with_batches
 
 _TIE, _PLACE, _RANGE = "__row_hash", "__read_by", "__range"  # other names than those of number_rows
 _RANK = (1 << 33) - 1  # monotonically_increasing_id keeps the row's rank in its low 33 bits
@@ -49,15 +49,13 @@ def number_once(
     keyed = keyed.withColumns(keys)
     names = [*keys, _TIE, _PLACE]
     size = F.coalesce(F.length("payload").cast("long"), F.lit(0))
-    # the plain columns first, so that NULLs and collations sort as they do in the rows
-    numbered, count = number_rows(keyed.select(*names, size.alias("size")), f"{staging}/keys", names, start)
+    numbered, count, bytes_ = number_and_sum(keyed.select(*names, size.alias("size")), f"{staging}/keys", names, "size", start)
     if not count:
         return Landing(rows, 0, start)
-    bytes_ = numbered.agg(F.sum("size")).first()[0]
     wanted = num_partitions or _ranges(rows, count, bytes_)
     batches = None
     if max_bytes:
-        batches = batches_in_turn(numbered.select("offset", "size"), f"{staging}/batches", max_bytes, max_messages)
+        batches = batches_in_turn(numbered.select("offset", "size"), f"{staging}/batches", max_bytes, max_messages, span=(start, start + count - 1))
         step = -(-batches.count() // wanted)
         cuts = [row["low"] for row in batches.where((F.col("number") % step == 0) & (F.col("number") > 0)).collect()]
     else:

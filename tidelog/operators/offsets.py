@@ -46,6 +46,18 @@ def number_rows(
     num_partitions: int | None = None,
 ) -> tuple[DataFrame, int]:
     """:func:`assign_offsets` together with how many rows were numbered."""
+    return number_and_sum(df, staging, order_by, None, start, num_partitions)[:2]
+
+
+def number_and_sum(
+    df: DataFrame,
+    staging: str,
+    order_by: Sequence[str],
+    summed: str | None,
+    start: int = 0,
+    num_partitions: int | None = None,
+) -> tuple[DataFrame, int, int]:
+    """:func:`number_rows` with the sum of one column as well."""
     spark = df.sparkSession
     tie, place = "__tie", "__place"
     keys = [*order_by, tie, place]
@@ -63,7 +75,8 @@ def number_rows(
     staged = spark.read.schema(schema).parquet(staging).withColumn(
         "__range", F.shiftright("__rank", _RANK_BITS)
     )
-    sizes = sorted(staged.groupBy("__range").agg(F.count(F.lit(1)).alias("n")).collect())
+    total = F.coalesce(F.sum(summed), F.lit(0)) if summed else F.lit(0)
+    sizes = sorted(staged.groupBy("__range").agg(F.count(F.lit(1)).alias("n"), total.alias("total")).collect())
     before = list(accumulate((row["n"] for row in sizes), initial=start))
     columns = {"__range": [row["__range"] for row in sizes], "before": before[:-1]}
     first = spark.createDataFrame(pa.table(columns, schema=_FIRST_OFFSETS))
@@ -73,7 +86,7 @@ def number_rows(
         .withColumn("offset", F.col("before") + rank)
         .drop("__range", "__rank", "before")
     )
-    return numbered, before[-1] - start
+    return numbered, before[-1] - start, sum(row["total"] for row in sizes)
 
 
 def _running_before(totals: DataFrame, key: str, value: str) -> DataFrame:

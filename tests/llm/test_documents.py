@@ -445,3 +445,53 @@ def test_empty_tables(spark, empty):
     languages = language_id.fit(empty, F.lit(True))
     assert language_id.predict(empty, languages).count() == 0
     assert licenses.scan(empty, licenses.fit(empty)).count() == 0
+
+
+# --- columns of the caller, copies of many tasks ---------------------------------------
+
+
+def test_mixing_and_sharding_keep_columns_of_any_name(spark, path):
+    rows = [(n, f"word {n} more", f"s{n % 3}", f"kept {n}", n) for n in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, turn string, turn_ long")
+    taken = mixing.take(docs)
+    assert taken.columns == docs.columns
+    assert {(row["doc_id"], row["turn"], row["turn_"]) for row in taken.collect()} <= {(n, f"kept {n}", n) for n in range(60)}
+    named = docs.withColumnRenamed("turn", "shard")
+    target = path("shards")
+    sharding.write_shards(named, target, limit_bytes=200)
+    found = spark.read.parquet(target)
+    assert {(row["doc_id"], row["shard"]) for row in found.collect()} == {(n, f"kept {n}") for n in range(60)}
+    assert found.select("shard_").distinct().count() > 1
+
+
+def test_copies_read_by_different_tasks_are_neighbours(spark, monkeypatch):
+    """One copy of each text in each of 32 tasks, long equal beginnings, and a digest that says nothing."""
+    monkeypatch.setattr(content_sort.F, "xxhash64", lambda *columns: F.lit(0))
+    rows = [(1000 * task + n, "same beginning " * 10 + f"Text {n % 40}") for task in range(32) for n in range(40)]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(rows, 32), "doc_id long, text string")
+    groups = content_sort.copy_groups(docs).collect()
+    assert {(row["keep_id"], row["group_size"]) for row in groups} == {(n, 32) for n in range(40)}
+    plan = docs.select("doc_id").groupBy("doc_id").count()  # the session still hashes elsewhere
+    assert plan.count() == len(rows)
+
+
+def test_inflected_toxic_words_are_found(spark):
+    """Every form of a word comes up once or twice in learning texts; other forms of it are found all the same."""
+    draw = random.Random(8)
+    endings = ["a", "o", "en", "ung", "keit", "los", "isch", "er", "heit", "chen", "ling", "bar"]
+    clean_stems = [f"{a}{b}" for a in ("malor", "tinde", "sorak", "belun", "karit") for b in ("ve", "mi", "ro", "ta")]
+    word = lambda stems: draw.choice(stems) + draw.choice(endings) + draw.choice(endings)
+    rows, labels = [], []
+    for n in range(700):
+        words = [word(clean_stems) for _ in range(40)]
+        toxic = n % 5 == 0
+        if toxic:
+            words[draw.randrange(40)] = word(["achlich", "boment"])
+        rows.append((n, " ".join(words), "de"))
+        labels.append((n, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = toxicity.fit(docs, spark.createDataFrame(labels, "doc_id long, toxic int"), F.col("doc_id") < 500)
+    found = {row["doc_id"]: row["predicted"] for row in toxicity.score(docs, model).collect()}
+    held = [n for n in range(500, 700)]
+    assert sum(found[n] for n in held if n % 5 == 0) >= 36
+    assert sum(found[n] for n in held if n % 5) <= 8

@@ -181,6 +181,19 @@ def test_backfill_and_tail_read_each_message_once(spark, path, messages, done):
     assert payloads(read_log(spark, out)) == sorted(wanted)
 
 
+def test_backfill_refuses_messages_without_offsets_and_the_tail_takes_them(spark, path, messages):
+    log, out, position = path("log"), path("out"), path("position")
+    publish(messages([(1, "a", "x")]), log)
+    with pytest.raises(ValueError, match="no offsets"):
+        backfill.backfill_then_tail(spark, {"path": log, "topic": "#"}, out, position)
+    log = path("numbered")
+    land(messages([(1, "a", "x")]), log)
+    backfill.backfill(spark, {"path": log, "topic": "#"}, out, position, 2)
+    publish(messages([(2, "a", "y")]), log)  # later, without a number
+    backfill.backfill_then_tail(spark, {"path": log, "topic": "#"}, out, position, 2).awaitTermination()
+    assert payloads(read_log(spark, out)) == ["x", "y"]
+
+
 def test_backfill_of_an_empty_log(spark, path, messages):
     log, out, position = path("log"), path("out"), path("position")
     options = {"path": log, "topic": "#"}
@@ -195,12 +208,12 @@ def test_backfill_of_an_empty_log(spark, path, messages):
 
 def test_tags_are_stored_in_one_pass(spark, path, messages):
     log, out, position = path("log"), path("out"), path("position")
-    formats = {f"t{n}": ("x/#" if n else "#", "k INT" if n % 2 else "k STRING", "json") for n in range(5)} | {"none": ("y", "k INT", "json")}
+    formats = {f"t{n}" if n else "t 0:=ü": ("x/#" if n else "#", "k INT" if n % 2 else "k STRING", "json") for n in range(5)} | {"none": ("y", "k INT", "json")}
     publish(messages([(1, "x/a", '{"k": 5}'), (2, "z", '{"k": 6}')]), log)
     query = store_by_tag(subscribe(spark, {"path": log, "topic": "#"}), out, position, formats)
     query.awaitTermination()
     assert [progress.numInputRows for progress in query.recentProgress if progress.numInputRows] == [2]  # one scan for six tables
-    assert sorted((row["id"], row["value"]["k"]) for row in read_tag(spark, out, "t0", formats).collect()) == [(1, "5"), (2, "6")]
+    assert sorted((row["id"], row["value"]["k"]) for row in read_tag(spark, out, "t 0:=ü", formats).collect()) == [(1, "5"), (2, "6")]
     for n in range(1, 5):
         assert [(row["id"], str(row["value"]["k"])) for row in read_tag(spark, out, f"t{n}", formats).collect()] == [(1, "5")]
     assert read_tag(spark, out, "none", formats).count() == 0

@@ -89,9 +89,9 @@ def dedupe_last_stream(messages: DataFrame, backlog: int = BACKLOG, offset: str
     own = F.struct(F.col("__block").alias("block"), F.lit(False).alias("note"))
     note = F.struct((F.col("__block") + 1).alias("block"), F.lit(True).alias("note"))
     sent = marked.select("*", F.explode(F.array(own, note)).alias("__to")).where("__block IS NOT NULL OR NOT __to.note")
-    light = [
-        F.when(~F.col("__to.note"), F.col(f"`{name}`")).alias(name) if name != offset else F.col(name) for name in messages.columns
-    ]
+    # a note needs no payload; other columns stay, since numbers beside NULLs would not stay whole in pandas
+    payload = F.when(~F.col("__to.note"), F.col("payload")).alias("payload")
+    light = [payload if name == "payload" else F.col(f"`{name}`") for name in messages.columns]
     bucket = F.pmod(F.xxhash64("__digest", "__to.block"), F.lit(buckets)).cast("int").alias("__bucket")
     keyed = sent.select(*light, "__digest", F.col("__to.block").alias("__block"), F.col("__to.note").alias("__note"), bucket)
     names = messages.columns

@@ -231,6 +231,16 @@ SELECT 'users/' || user_id AS topic, event_id, event_type, props FROM events""",
 SELECT 'users' AS topic, CAST(user_id AS VARCHAR) AS payload, CAST(2 AS INTEGER) AS qos FROM events""",
     "publish_stream": _ALL_EVENTS,
     "publish_idempotent": _ALL_EVENTS,
+    "replay_old_files": _ALL_EVENTS,
+    "publish_idempotent_stateful": f"""
+WITH {_EVENTS}
+SELECT 'totals' AS topic, topic AS source, count(*) AS messages FROM messages GROUP BY messages.topic""",
+    "dedupe_out_of_order": f"""
+WITH {_EVENTS},
+delivered AS (
+  SELECT id, topic, payload FROM messages UNION ALL SELECT id, topic, payload FROM messages WHERE id % 10 = 0
+)
+SELECT DISTINCT id, topic, payload FROM delivered""",
     "publish_batch": _ALL_EVENTS,
     "publish_complete": f"""
 WITH {_EVENTS}
@@ -272,7 +282,12 @@ halves AS (
   FROM messages
 )
 SELECT "start", "start" + INTERVAL 1 HOUR AS "end", topic, count(*) AS n FROM halves GROUP BY ALL""",
-    "dedupe_redelivery": f"WITH {_EVENTS} SELECT id, topic, payload FROM messages",
+    "dedupe_redelivery": f"""
+WITH {_EVENTS},
+delivered AS (
+  SELECT id, topic, payload FROM messages UNION ALL SELECT id, topic, payload FROM messages WHERE id % 10 = 0
+)
+SELECT DISTINCT id, topic, payload FROM delivered""",
     "dedupe_batch": _ALL_EVENTS,
     "topic_stats": f"""
 WITH {_NUMBERED}

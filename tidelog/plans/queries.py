@@ -214,6 +214,18 @@ def resume_after_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text(spark.read.parquet(out))
 
 
+def replay_old_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches that come with files of years ago, after newer ones were read."""
+    messages = event_messages(spark, sf_dir)
+    log, out, position = (scratch_path(spark, f"old-{part}") for part in ("log", "out", "position"))
+    for part in range(4):
+        batch = land(event_part(messages, part), log)
+        if part % 2 and batch is not None:
+            LogFolder(spark, log).date_files("landed", batch, 1_000_000_000_000 + part)
+        keep(subscribe(spark, LogOptions(log, "events/#")), out, position).awaitTermination()
+    return _text(spark.read.schema(ENVELOPE).parquet(out))
+
+
 def retention_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text(read_newest(spark, landed(spark, sf_dir, "parts"), keep=2))
 
@@ -323,6 +335,26 @@ def publish_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text(read_log(spark, out))
 
 
+def publish_idempotent_stateful(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts go on from a state that is whole, though a micro-batch ran again after its result was published."""
+    messages = event_messages(spark, sf_dir)
+    log, out, position = (scratch_path(spark, f"stateful-{part}") for part in ("log", "out", "position"))
+    for part in range(4):
+        land(event_part(messages, part), log)
+        for crash in (part % 2 == 0, False):
+            stream = subscribe(spark, LogOptions(log, "events/#"))
+            totals = stream.groupBy(F.col("topic").alias("source")).agg(F.count(F.lit(1)).alias("messages"))
+            publish_stream(totals, out, position, "totals", output_mode="complete").awaitTermination()
+            if not crash:
+                break
+            commits = LogFolder(spark, f"{position}/commits")
+            last = max(int(name) for name in commits.names(commits.path) if name.isdigit())
+            for name in (f"{last}", f".{last}.crc"):
+                commits.discard(f"{commits.path}/{name}")
+    back = from_payload("payload", "source STRING, messages BIGINT")
+    return read_newest(spark, out).select("topic", back.alias("row")).select("topic", "row.*")
+
+
 def publish_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "publish-batch")
     publish(event_messages(spark, sf_dir), out)
@@ -489,6 +521,16 @@ def dedupe_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text(_kept(spark, once, "deduped")).drop("timestamp")
 
 
+def dedupe_out_of_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies are dropped and unique messages kept though the batches do not come in the order of their times."""
+    messages = _redelivered(spark, sf_dir)
+    log = scratch_path(spark, "unordered")
+    for part in (3, 1, 0, 2):
+        land(event_part(messages, part), log)
+    stream = subscribe(spark, LogOptions(log, "events/#", max_files_per_trigger=1))
+    return _text(_kept(spark, dedupe.dedupe_stream(stream, "1 hour"), "unordered-out")).drop("timestamp")
+
+
 def dedupe_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _text(dedupe.dedupe(_redelivered(spark, sf_dir)))
 
@@ -631,6 +673,7 @@ _QUERIES: list[Query] = [
     byte_batches,
     both_batches,
     resume_after_restart,
+    replay_old_files,
     retention_window,
     retention_consumed,
     backfill_then_tail,
@@ -641,6 +684,7 @@ _QUERIES: list[Query] = [
     encode_single,
     publish_streaming,
     publish_idempotent,
+    publish_idempotent_stateful,
     publish_batch,
     publish_complete,
     payload_text,
@@ -658,6 +702,7 @@ _QUERIES: list[Query] = [
     window_counts_append,
     window_counts_sliding,
     dedupe_redelivery,
+    dedupe_out_of_order,
     dedupe_batch,
     dedupe_last_n,
     dedupe_last_n_stream,

@@ -56,6 +56,11 @@ class LogFolder:
     def _path(self, path: str):
         return self._jvm.org.apache.hadoop.fs.Path(path)
 
+    def date_files(self, publisher: str, batch_id: int, ms: int) -> None:
+        """Give the files of a batch a date, as restored or copied files have that of their origin."""
+        for file in self.data_files(publisher, batch_id):
+            self._fs.setTimes(self._path(f"{self.path}/{file}"), ms, -1)
+
     def make(self, path: str) -> None:
         self._fs.mkdirs(self._path(path))
 

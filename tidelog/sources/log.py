@@ -28,7 +28,8 @@ def subscribe(spark: SparkSession, options: LogOptions | Mapping[str, Any], afte
     count makes each micro-batch one landed file, which ``append_batch`` kept
     within the limit, so the log must have been landed under such a limit and
     ``maxFilesPerTrigger`` cannot go with it; a limit by bytes alone is applied by
-    the file stream, file by file. ``after`` leaves out messages up to an offset.
+    the file stream, file by file. ``after`` leaves out messages up to an offset,
+    and none that has no offset.
 
     A clean session begins at the end of the log: batches that are complete when it begins are left out, whatever
     times their messages carry, and all that is landed later arrives. Where it began is kept beside the position if ``checkpointLocation``
@@ -56,7 +57,7 @@ def subscribe(spark: SparkSession, options: LogOptions | Mapping[str, Any], afte
         reader = reader.option("sourceArchiveDir", chosen.archive_dir)
     stored = reader.parquet(chosen.path)
     if after is not None:
-        stored = stored.where(F.col("offset") > after)
+        stored = stored.where(F.col("offset").isNull() | (F.col("offset") > after))
     if chosen.clean_session and not chosen.start_timestamp:
         stored = stored.where(_beyond(session_start(spark, chosen)))
     return delivered(stored, chosen)

@@ -25,7 +25,9 @@ def hand_over_offset(spark: SparkSession, log: str, checkpoint: str) -> int:
     kept = [name for name in folder.names(folder.path) if name.startswith(_HAND_OVER)]
     if kept:
         return int(kept[0][len(_HAND_OVER):])
-    last = LogFolder(spark, log).last_offset()
+    source = LogFolder(spark, log)
+    last = source.last_offset()
+    source.files_between(-1, last)  # refuses a log with messages that no slice would find
     folder.mark(f"{_HAND_OVER}{last}")
     return last
 
@@ -37,7 +39,7 @@ def backfill(
     """Publish what the log held at the hand-over, slice by slice; gives the offset of the hand-over.
 
     A slice is a batch of its own in ``out``, so slices that are there already are skipped: a backfill that was broken off goes on where it stopped.
-    ``slices`` must not change in between. ``at_most`` ends this run after so many slices, the skipped ones included.
+    All messages up to the hand-over must be numbered. ``slices`` must not change in between. ``at_most`` ends this run after so many slices, the skipped ones included.
     """
     chosen = LogOptions.of(options)
     last = hand_over_offset(spark, chosen.path, checkpoint)

@@ -180,7 +180,7 @@ def store_by_tag(
     """
     for table, (topic_filter, _, _) in formats.items():
         check_filter(topic_filter)
-        if table.startswith(("_", ".")) or "/" in table:
+        if not table or table.startswith(("_", ".")) or "/" in table:
             raise ValueError(f"{table!r} cannot be the folder of a table")
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -192,12 +192,11 @@ def store_by_tag(
             return
         staging = LogFolder(batch.sparkSession, out).staging_path(query_id, batch_id)
         tagged(batch, formats).write.partitionBy(_TAG).parquet(staging)
-        written = set(LogFolder(batch.sparkSession, staging).values(staging, _TAG))
-        for table, folder in missing.items():
-            staged = f"{staging}/{_TAG}={table}"
-            if table not in written:  # no message: an empty batch says that it was looked at
-                folder.make(staged)
-            folder.commit(staged, query_id, batch_id)
+        for number, (table, folder) in enumerate(folders.items()):
+            if table in missing:
+                staged = f"{staging}/{_TAG}={number}"
+                folder.make(staged)  # without a message there is none: an empty batch says that it was looked at
+                folder.commit(staged, query_id, batch_id)
         folder.discard(staging)
 
     writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -205,12 +204,12 @@ def store_by_tag(
 
 
 def tagged(messages: DataFrame, formats: Mapping[str, tuple[str, T.StructType | str, str]]) -> DataFrame:
-    """A row for each message and tag: id, topic, timestamp, a column of values for each table, and the tag."""
-    tags = [F.when(matches("topic", topic_filter), F.lit(table)) for table, (topic_filter, _, _) in formats.items()]
+    """A row for each message and tag: id, topic, timestamp, a column of values for each table, and the tag's number."""
+    tags = [F.when(matches("topic", topic_filter), F.lit(number)) for number, (topic_filter, _, _) in enumerate(formats.values())]
     rows = messages.select("id", "topic", "timestamp", "payload", F.explode(F.array_compact(F.array(*tags))).alias(_TAG))
     values = [
-        F.when(F.col(_TAG) == table, from_payload("payload", schema, format)).alias(f"{_VALUE}{number}")
-        for number, (table, (_, schema, format)) in enumerate(formats.items())
+        F.when(F.col(_TAG) == number, from_payload("payload", schema, format)).alias(f"{_VALUE}{number}")
+        for number, (_, schema, format) in enumerate(formats.values())
     ]
     return rows.select("id", "topic", "timestamp", *values, _TAG)
 

@@ -22,6 +22,7 @@ _TIE, _PLACE, _RANGE = "__row_hash", "__read_by", "__range"  # other names than
 _RANK = (1 << 33) - 1  # monotonically_increasing_id keeps the row's rank in its low 33 bits
 # Range bounds are part of the plan: one key for each range. Beyond that ranges get larger.
 _MOST_RANGES = 1 << 13
+_BYTES_IN_RANGE = 64 << 20
 _ROWS_IN_RANGE = 20_000  # no range is smaller, as far as the session's cores are concerned
 
 
@@ -81,12 +82,9 @@ def number_once(
 
 
 def _ranges(rows: DataFrame, count: int, bytes_: int) -> int:
-    """As many as the payloads fill at Spark's advisory size, and at least work for all cores if there is enough of it."""
-    spark = rows.sparkSession
-    advisory = spark._jsparkSession.sessionState().conf().getConfString("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
-    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(advisory)
-    busy = min(spark.sparkContext.defaultParallelism, count // _ROWS_IN_RANGE)
-    return max(1, busy, min(_MOST_RANGES, -(-(bytes_ + 64 * count) // size)))
+    """As many as the messages fill at a range's size, and at least work for all cores if there is enough of it."""
+    busy = min(rows.sparkSession.sparkContext.defaultParallelism, count // _ROWS_IN_RANGE)
+    return max(1, busy, min(_MOST_RANGES, -(-(bytes_ + 64 * count) // _BYTES_IN_RANGE)))
 
 
 def _hashable(rows: DataFrame) -> list[Column]:

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -34,6 +35,8 @@ BEGINNINGS = (4, 5, 6, 7, 8)
 EPOCHS = 12
 _BATCH = 64
 _LEAST_STEPS = 800
+# A bucket in so many learning texts is learnt at half the rate.
+_DOUBT = 10
 _HIDDEN = 0.2
 # So many toxic texts at least set a threshold.
 _LEAST_TOXIC = 20
@@ -171,13 +174,16 @@ class _Vocabulary:
     def __init__(self, texts: Iterable[pa.Scalar]):
         numbers: dict[str, int] = {}
         self.texts = [
-            np.array([numbers.setdefault(word, len(numbers)) for word in _WORDS.findall(text.as_py().lower())], np.int64)
+            np.array([numbers.setdefault(word, len(numbers)) for word in _WORDS.findall(text.as_py().lower())], np.int32)
             for text in texts
         ]
-        buckets = [word_buckets(word) for word in numbers]
-        self.sizes = np.array([len(own) for own in buckets], np.int64)
+        flat, sizes = array("i"), array("b")  # many words, so no list for each
+        for word in numbers:
+            own = word_buckets(word)
+            flat.extend(own)
+            sizes.append(len(own))
+        self.buckets, self.sizes = np.array(flat, np.int32), np.array(sizes, np.int64)
         self.firsts = np.cumsum(self.sizes) - self.sizes
-        self.buckets = np.array([bucket for own in buckets for bucket in own], np.int64)
 
     def of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Buckets of some words, and where those of each word begin."""
@@ -186,6 +192,14 @@ class _Vocabulary:
         places = np.repeat(self.firsts[words] - begins, sizes) + np.arange(sizes.sum())
         return self.buckets[places], begins
 
+    def sums(self, table: np.ndarray, text: np.ndarray) -> np.ndarray:
+        """For each word of a text the sum of its buckets' rows."""
+        if not len(text):
+            return np.zeros((0, table.shape[1]), table.dtype)
+        words, inverse = np.unique(text, return_inverse=True)
+        buckets, begins = self.of(words)
+        return np.add.reduceat(table[buckets], begins)[inverse]
+
 
 def train(texts: Iterable[pa.Scalar], labels: np.ndarray, languages: list[str], held: np.ndarray) -> ToxicityModel:
     """The model, without thresholds. The ``held`` texts only choose the pass."""
@@ -219,12 +233,13 @@ class _Adam:
         self.value, self.rate, self.step = value, rate, 0
         self.mean, self.square = np.zeros_like(value), np.zeros_like(value)
 
-    def update(self, gradient: np.ndarray, rows=slice(None)) -> None:
+    def update(self, gradient: np.ndarray, rows=slice(None), share: np.ndarray | float = 1.0) -> None:
+        """One step; ``share`` of it is taken."""
         self.step += 1
         self.mean[rows] = 0.9 * self.mean[rows] + 0.1 * gradient
         self.square[rows] = 0.999 * self.square[rows] + 0.001 * gradient**2
         size = self.rate * np.sqrt(1 - 0.999**self.step) / (1 - 0.9**self.step)
-        self.value[rows] -= size * self.mean[rows] / (np.sqrt(self.square[rows]) + 1e-8)
+        self.value[rows] -= share * size * self.mean[rows] / (np.sqrt(self.square[rows]) + 1e-8)
 
 
 def _loss(logits: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> float:
@@ -244,6 +259,11 @@ def _fit_filters(
     constant = _Adam(np.array([-1.0], np.float32), 0.01)
     offsets = [(bank, offset) for bank, width in enumerate(WIDTHS) for offset in range(width)]
     passes = max(EPOCHS, _LEAST_STEPS * _BATCH // max(1, len(train_on)))
+    # Adam's steps are as large for a bucket of one text as for one of many, and would learn that text by heart
+    seen = np.zeros(BUCKETS)
+    for i in train_on:
+        seen[np.unique(words.of(np.unique(ids[i]))[0])] += 1
+    trust = (seen / (seen + _DOUBT)).astype(np.float32)
     best_loss = np.inf
     for _ in range(passes):
         for batch in np.array_split(draw.permutation(train_on), max(1, len(train_on) // _BATCH)):
@@ -287,12 +307,12 @@ def _fit_filters(
                 rows, place = np.unique(buckets, return_inverse=True)
                 to_rows = np.zeros((len(rows), WIDTH_OF_EMBEDDING), np.float32)
                 np.add.at(to_rows, place, np.repeat(to_words, np.diff(begins, append=len(buckets)), axis=0))
-                embedding.update(to_rows, rows)
+                embedding.update(to_rows, rows, trust[rows, None])
             for part, gradient in zip((bias, weights, constant), gradients):
                 part.update(gradient)
         now = ToxicityModel(embedding.value @ kernel.value, bias.value.copy(), weights.value.copy(), float(constant.value[0]))
-        by_word = np.add.reduceat(now.filters[words.buckets], words.firsts) if len(words.firsts) else np.zeros((0, now.filters.shape[1]))
-        loss = _loss(np.array([now.logit(by_word[ids[i]]) for i in held]), labels[held], balance[held]) if len(held) else 0.0
+        logits = np.array([now.logit(words.sums(now.filters, ids[i])) for i in held])
+        loss = _loss(logits, labels[held], balance[held]) if len(held) else 0.0
         if loss < best_loss:
             best_loss = loss
             model.filters, model.bias, model.weights, model.constant = now.filters, now.bias, now.weights, now.constant

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from tidelog.llm import (
     content_sort, fingerprints, jaccard, language_id, licenses, mixing, packing, sharding, toxicity,
 )
+from compare import difference, tables_of
+from tidelog.llm.oracles import SQL
 from tidelog.llm.queries import edited_end as edit  # workers can import it, unlike a function of a test
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -495,3 +497,46 @@ def test_inflected_toxic_words_are_found(spark):
     held = [n for n in range(500, 700)]
     assert sum(found[n] for n in held if n % 5 == 0) >= 36
     assert sum(found[n] for n in held if n % 5) <= 8
+
+
+@pytest.mark.parametrize("limit", [20_000, 150_000])
+def test_shards_that_are_split_match_sql(spark, limit):
+    """The query's SQL at a limit that the small table goes beyond, over several rounds of splits."""
+    folder = "/root/testdata/sf0.01"
+    sql = SQL["op6_shard_documents"].replace(str(sharding.LIMIT_BYTES), str(limit))
+    wanted = tables_of(folder).execute(sql).df()
+    found = sharding.assign(spark.read.parquet(f"{folder}/documents.parquet"), limit_bytes=limit)
+    assert difference(found.toPandas(), wanted) is None
+    assert wanted["depth"].max() > 4 and wanted["shard"].nunique() > 10
+
+
+def test_texts_are_scored_in_batches_as_one_by_one(monkeypatch):
+    draw = np.random.default_rng(3)
+    model = language_id.LanguageModel(["a", "b", "c"], draw.normal(size=(language_id.BUCKETS, 3)).astype(np.float32))
+    texts = ["", "x", "Ab c", "äöü ß 日本", " ", "long " * 900, "y" * 70, "z"]
+
+    def slowly(text):
+        """n-gram by n-gram."""
+        total = np.zeros(3)
+        for buckets in language_id.stretches(text):
+            for bucket in buckets.ravel().tolist():
+                total += model.log_probability[bucket]
+        return total
+
+    wanted = np.array([slowly(text) for text in texts])
+    for at_once in (1 << 17, 64):
+        monkeypatch.setattr(language_id, "_CHARS_AT_ONCE", at_once)
+        assert np.allclose(language_id.likelihoods(model, texts), wanted, rtol=1e-4, atol=1e-3)
+
+
+def test_a_rare_language_is_learnt(spark):
+    draw = random.Random(2)
+    common = ["der", "die", "und", "nicht", "eine"]
+    rare = ["aqo", "xiu", "zez", "wuy", "qaq"]
+    rows = [(n, " ".join(draw.choice(common) for _ in range(12)), "de") for n in range(3000)]
+    rows += [(9000 + n, " ".join(draw.choice(rare) for _ in range(12)), "xx") for n in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(docs, F.lit(True), sample_rows=100)
+    assert model.languages == ["de", "xx"]
+    found = {row["doc_id"]: row["lang_pred"] for row in language_id.predict(docs, model).collect()}
+    assert all(found[doc_id] == lang for doc_id, _, lang in rows)

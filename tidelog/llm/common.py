@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.session import scratch_path
+from tidelog.sources.layout import LogFolder
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
@@ -18,11 +19,19 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     This cuts the lineage, and rows that were computed once stay as they are even
     when an executor is lost.
     """
-    path = scratch_path(frame.sparkSession, name)
+    return stored_at(frame, scratch_path(frame.sparkSession, name))
+
+
+def stored_at(frame: DataFrame, path: str) -> DataFrame:
+    """The same at a place that the caller chooses, and may give to :func:`removed` when nothing reads it any more."""
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    LogFolder(spark, path).discard(path)
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, all other characters as they are; null is empty.
 

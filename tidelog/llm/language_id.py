@@ -1,8 +1,9 @@
 """Language of a text: multinomial naive Bayes over hashed character n-grams.
 
 Counts of n-grams are made in numpy where the texts are read and summed up by Spark.
-The log-probability matrix, buckets times languages, is broadcast; a text
-is scored by adding up the rows of its n-grams.
+The log-probability matrix, buckets times languages, is broadcast. Texts are scored
+many at once: the n-grams of a batch are the entries of a sparse matrix, texts times buckets, which is multiplied with it by
+gathering the matrix's rows and adding up those of each text.
 """
 
 from __future__ import annotations
@@ -17,10 +18,11 @@ from pyspark.sql import functions as F
 
 BUCKETS = 1 << 15
 LONGEST = 3
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 8_000  # of each language
 UNDETERMINED = "und"
 _SMOOTHING = 0.5
 _CHARS_AT_ONCE = 1 << 17
+_VALUES_AT_ONCE = 1 << 21
 # Odd numbers that spread the code points of an n-gram over 32 bits.
 _SPREAD = np.array([2654435761, 2246822519, 3266489917], np.uint32)
 
@@ -61,7 +63,8 @@ def fit(
 ) -> LanguageModel:
     """Learn from the rows where ``usable`` holds and text and language are not null.
 
-    Of these about ``sample_rows`` are taken by a hash of the id, whole texts. The
+    Of each language about ``sample_rows`` are taken by a hash of the id, whole texts, and all where there are
+    fewer, so that a rare language is learnt as well as its rows allow. The
     counts gathered are at most BUCKETS for each language. Without any row the model
     knows no language.
     """
@@ -69,9 +72,10 @@ def fit(
     labelled = labelled.select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col)).alias("draw")
     )
-    rows = docs.where(usable & F.col(lang_col).isNotNull()).count()
-    if rows > sample_rows:
-        labelled = labelled.where(F.pmod("draw", F.lit(1 << 30)) < int(sample_rows / rows * (1 << 30)))
+    rows = docs.where(usable & F.col(lang_col).isNotNull()).groupBy(F.col(lang_col).alias("lang")).count().collect()
+    parts = [F.lit(x) for row in rows for x in (row["lang"], int(min(1.0, sample_rows / row["count"]) * (1 << 30)))]
+    if parts:  # one entry for each language
+        labelled = labelled.where(F.pmod("draw", F.lit(1 << 30)) < F.element_at(F.create_map(*parts), F.col("lang")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -95,14 +99,42 @@ def fit(
     return LanguageModel(languages, np.log(counts / counts.sum(axis=0, keepdims=True)).astype(np.float32))
 
 
-def likelihoods(model: LanguageModel, text: str) -> np.ndarray:
-    """Log-likelihood of the text in each language."""
-    total = np.zeros(len(model.languages))
-    for buckets in stretches(text):
-        seen, times = np.unique(buckets.ravel(), return_counts=True) if buckets.size > 4096 else (buckets.ravel(), None)
-        rows = model.log_probability[seen]
-        total += rows.sum(axis=0, dtype=np.float64) if times is None else times @ rows
-    return total
+def likelihoods(model: LanguageModel, texts: list[str]) -> np.ndarray:
+    """Log-likelihood of each text in each language."""
+    totals = np.zeros((len(texts), len(model.languages)))
+    most = max(LONGEST, min(_CHARS_AT_ONCE, _VALUES_AT_ONCE // (LONGEST * max(1, len(model.languages)))))
+    held: list[tuple[int, np.ndarray]] = []
+    size = 0
+    for place, text in enumerate(texts):
+        codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
+        if len(codes) > most:  # a long text on its own, a bounded part at a time
+            for first in range(0, len(codes), most):
+                part = codes[first : first + most + LONGEST - 1]
+                rows = model.log_probability[gram_buckets(part, min(most, len(codes) - first))]
+                totals[place] += rows.sum(axis=(0, 1), dtype=np.float64)
+            continue
+        if held and size + len(codes) > most:
+            _add_up(model, held, totals)
+            held, size = [], 0
+        held.append((place, codes))
+        size += len(codes) + LONGEST
+    if held:
+        _add_up(model, held, totals)
+    return totals
+
+
+def _add_up(model: LanguageModel, held: list[tuple[int, np.ndarray]], totals: np.ndarray) -> None:
+    """Add the rows of the n-grams of each text, all texts at once; blanks between them stand for the end of a text."""
+    held = [(place, codes) for place, codes in held if len(codes)]
+    if not held:
+        return
+    blanks = np.full(LONGEST, 32, np.uint32)
+    whole = np.concatenate([part for _, codes in held for part in (codes, blanks)])
+    starts = np.cumsum([0, *[len(codes) + LONGEST for _, codes in held]])
+    rows = model.log_probability[gram_buckets(whole, len(whole))].sum(axis=0)
+    for back in range(1, LONGEST + 1):
+        rows[starts[1:] - back] = 0  # n-grams that begin between texts
+    totals[[place for place, _ in held]] += np.add.reduceat(rows, starts[:-1], axis=0, dtype=np.float64)
 
 
 def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -121,16 +153,15 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            names, scores = [], []
-            for able, text in zip(batch.column("able").to_pylist(), batch.column("text")):
-                if not able or not known.languages:
-                    names.append(UNDETERMINED)
-                    scores.append(0.0)
-                    continue
-                total = likelihoods(known, text.as_py())
-                best = int(total.argmax())
-                names.append(known.languages[best])
-                scores.append(float(1 / np.exp(total - total[best]).sum()))
+            able = np.array(batch.column("able").to_pylist(), bool) & bool(known.languages)
+            names, scores = np.full(batch.num_rows, UNDETERMINED, object), np.zeros(batch.num_rows)
+            if able.any():
+                texts = batch.column("text").filter(pa.array(able)).to_pylist()
+                totals = likelihoods(known, texts)
+                best = totals.argmax(axis=1)
+                names[able] = np.array(known.languages, object)[best]
+                away = totals - totals[np.arange(len(texts)), best][:, None]
+                scores[able] = 1 / np.exp(away).sum(axis=1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 ["id", "lang_pred", "score"],

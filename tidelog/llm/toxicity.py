@@ -32,7 +32,7 @@ SAMPLE_CHARS = {1: 16_000_000, 0: 32_000_000}
 BUCKETS = 1 << 17
 # Beginnings of a word's UTF-8 bytes that are hashed, beside the whole word.
 BEGINNINGS = (4, 5, 6, 7, 8)
-EPOCHS = 12
+EPOCHS = 6
 _BATCH = 64
 _LEAST_STEPS = 800
 # A bucket in so many learning texts is learnt at half the rate.

@@ -143,16 +143,13 @@ def _counted(
 ) -> list[np.ndarray]:
     """How many labelled documents there are by language found, logit, label and whether they were learnt from.
 
-    Texts meet their labels first, so that none is scored without need; ``learnt`` are
+    Texts are scored where they are read, so that only ids meet their labels and no text is shuffled; ``learnt`` are
     hashes of ids. One row comes back for each bin of logits in use, at most.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    seen = spark.createDataFrame([(draw, True) for draw in sorted(learnt)], "draw long, learnt boolean")
-    known = docs.select(F.col(id_col), F.col(text_col).alias("text")).join(labels, id_col).select(
-        "label", "text", F.xxhash64(id_col).alias("draw")
-    )
-    read = known.join(F.broadcast(seen), "draw", "left").select("label", F.coalesce("learnt", F.lit(False)).alias("learnt"), "text")
+    read = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    id_type = read.schema["id"].dataType.simpleString()
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(shared.value)
@@ -160,10 +157,12 @@ def _counted(
             marks = [scorer.mark(text.as_py() or "") for text in batch.column("text")]
             found = pa.array([language for language, _ in marks], pa.int32())
             bins = pa.array([round(float(np.arcsinh(logit)) * _BINS) for _, logit in marks], pa.int32())
-            yield pa.RecordBatch.from_arrays([found, bins, *batch.columns[:2]], ["found", "bin", "label", "learnt"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), found, bins], ["id", "found", "bin"])
 
-    scored = read.mapInArrow(placed, "found int, bin int, label int, learnt boolean")
-    rows = scored.groupBy("found", "bin", "label", "learnt").count().collect()
+    scored = read.mapInArrow(placed, f"id {id_type}, found int, bin int").withColumnRenamed("id", id_col)
+    seen = spark.createDataFrame([(draw, True) for draw in sorted(learnt)], "draw long, learnt boolean")
+    known = scored.join(labels, id_col).withColumn("draw", F.xxhash64(id_col)).join(F.broadcast(seen), "draw", "left")
+    rows = known.groupBy("found", "bin", "label", F.coalesce("learnt", F.lit(False)).alias("learnt")).count().collect()
     columns = np.array([tuple(row) for row in rows], np.int64).reshape(-1, 5).T
     return [columns[0], np.sinh(columns[1] / _BINS), columns[2], columns[3] == 1, columns[4]]
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 # No limit: more than all sizes add up to, and still no overflow in a sum.
 _ENDLESS = 1 << 61
+_BROADCAST_SLICES = 250_000
 _STEPS = "slice BIGINT, upto BIGINT, above BIGINT, bytes BIGINT, messages BIGINT, starts BIGINT"
 _ENTRIES = "slice BIGINT, open_bytes BIGINT, open_messages BIGINT, before BIGINT"
 _PARTS = "number BIGINT, low BIGINT, high BIGINT, bytes BIGINT"
@@ -42,7 +43,8 @@ def batches_in_turn(
     if first is None:
         spark.createDataFrame([], _PARTS).write.mode("overwrite").parquet(staging)
         return spark.read.schema(_PARTS).parquet(staging)
-    tasks = min((last >> bits) - (first >> bits) + 1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    slices = (last >> bits) - (first >> bits) + 1
+    tasks = min(slices, int(spark.conf.get("spark.sql.shuffle.partitions")))
     sliced = sized.select(F.shiftright("offset", bits).alias("slice"), "offset", F.col("size").cast("long").alias("size"))
 
     def steps(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -60,7 +62,8 @@ def batches_in_turn(
     # a few rows for each slice, in one task that holds one slice's at a time
     ordered = _by_slice(sliced, tasks).mapInPandas(steps, _STEPS).repartition(1).sortWithinPartitions("slice", "upto")
     entries = ordered.mapInPandas(walk, _ENTRIES)
-    known = sliced.join(F.broadcast(entries), "slice")  # one row for each slice
+    # one row of four numbers for each slice
+    known = sliced.join(F.broadcast(entries) if slices <= _BROADCAST_SLICES else entries, "slice")
     found = _by_slice(known, tasks).mapInPandas(parts, _PARTS)
     whole = found.groupBy("number").agg(
         F.min("low").alias("low"), F.max("high").alias("high"), F.sum("bytes").alias("bytes")

@@ -290,3 +290,30 @@ def test_payloads_survive_landing(spark, path, messages):
     stored = read_log(spark, log).orderBy("id").collect()
     assert [row["payload"] for row in stored] == [bytearray(b"\xff\x00"), None, bytearray(b"")]
     assert payloads(read_log(spark, log).where("id = 3")) == [""]
+
+
+# --- ranges of a landing -------------------------------------------------------------
+
+
+@pytest.mark.parametrize("limit", [None, 10])
+def test_ranges_hold_even_bytes_where_large_messages_come_at_once(spark, path, messages, limit):
+    rows = [(n, "a", "x" * (5_000 if 100 <= n < 200 else 1)) for n in range(2_000)]
+    log = path("log")
+    land(messages(rows), log, num_partitions=8, max_batch_messages=limit)
+    stored = read_log(spark, log).withColumn("file", F.input_file_name())
+    assert sorted(row["offset"] for row in stored.collect()) == list(range(2_000))
+    if limit is None:
+        most = stored.groupBy("file").agg(F.sum(F.length("payload")).alias("bytes")).agg(F.max("bytes")).first()[0]
+        assert most <= 2 * 500_000 / 8
+    else:
+        assert {row["count"] for row in stored.groupBy("file").count().collect()} == {10}
+
+
+def test_one_heavy_block_is_cut_in_smaller_ones(spark, path):
+    sizes = [(n, 1 << 20 if 5_000 <= n < 5_008 else 0) for n in range(100_000)]
+    numbered = spark.createDataFrame(sizes, "offset BIGINT, size BIGINT")
+    cuts = landing._even_cuts(numbered, 0, 100_000, 8 << 20, 4, 1)
+    bounds = [0, *cuts, 100_000]
+    weights = [sum(size + 64 for _, size in sizes[low:high]) for low, high in zip(bounds, bounds[1:])]
+    assert len(weights) <= 4 and max(weights) <= sum(weights) / 4 + (1 << 20) + (1 << 16)
+    assert landing._even_cuts(numbered, 0, 100_000, 8 << 20, 1, 10) == []

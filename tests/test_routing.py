@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from test_topics import expected
+from tidelog.operators import routing
 from tidelog import (
     demux,
     fan_in,
@@ -123,3 +124,24 @@ def test_topic_folders_are_pruned(spark, path, messages):
     assert [r["id"] for r in one.collect()] == [1]
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "topic" in plan.split("PartitionFilters:")[1].split("]")[0]
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_messages_of_a_routed_log_stay_where_they_are_read(spark, messages, monkeypatch):
+    rows = messages([(n, "t/hot" if n % 10 else f"t/{n}", f"m{n}") for n in range(200)])
+    routes = spark.createDataFrame([("t/#", "all"), ("t/hot", "hot"), ("t/+", "all")], "filter STRING, destination STRING")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = fan_out_table(rows, routes)
+        assert "SortMergeJoin" not in plan_of(few)
+        monkeypatch.setattr(routing, "_BROADCAST_BYTES", 0)
+        many = fan_out_table(rows, routes)
+        assert "SortMergeJoin" in plan_of(many) and "Aggregate" not in plan_of(many)  # which would keep hot topics whole
+        assert pairs(few) == pairs(many)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(pairs(few)) == 200 + 180

@@ -11,6 +11,9 @@ from pyspark.sql import types as T
 
 from tidelog.functions.payload import from_payload
 from tidelog.functions.topics import check_filter, matches
+from tidelog.session import scratch_path
+
+_BROADCAST_BYTES = 32 << 20  # of topics and destinations
 
 
 def fan_in(*sources: DataFrame) -> DataFrame:
@@ -45,8 +48,8 @@ def fan_out_table(messages: DataFrame, routes: DataFrame) -> DataFrame:
     Filters differ in shape: how many levels they have and which of them are
     wildcards. For each shape in the table a topic has exactly one filter that
     could match it, so routes are found by equality: the distinct topics are matched
-    with the table, and the pairs found are joined to the messages by topic in one join, which Spark
-    broadcasts where they are few and splits where a topic is hot. A stream, which cannot take its distinct
+    with the table, and the pairs found are stored and joined to the messages by topic in one join: broadcast
+    where they are few, so that messages stay where they are read, else by a shuffle in which Spark splits hot topics. A stream, which cannot take its distinct
     topics, is joined once for each shape instead, with the same result. Routes with a NULL filter
     or destination are no routes.
     """
@@ -99,8 +102,13 @@ def _fan_out_by_topic(messages: DataFrame, shaped: DataFrame, shapes: list[str])
         .select("topic", "__destination")
         .distinct()
     )
+    # stored, as Spark neither broadcasts by size nor splits hot topics where a step lies between shuffle and join
+    path, kind = scratch_path(messages.sparkSession, "routes"), pairs.schema
+    pairs.write.parquet(path)
+    pairs = messages.sparkSession.read.schema(kind).parquet(path)
+    bytes_ = pairs.agg(F.sum(F.octet_length("topic") + F.octet_length("__destination") + 64)).first()[0] or 0
     others = [name for name in messages.columns if name != "topic"]
-    return messages.join(pairs, "topic").select(
+    return messages.join(F.broadcast(pairs) if bytes_ <= _BROADCAST_BYTES else pairs, "topic").select(
         F.col("topic").alias("source_topic"), F.col("__destination").alias("topic"), *others
     )
 

@@ -43,7 +43,8 @@ def backfill(
     chosen = LogOptions.of(options)
     last = hand_over_offset(spark, chosen.path, checkpoint)
     for number, (after, upto) in list(enumerate(slice_bounds(-1, last, slices)))[:at_most]:
-        rows = delivered(read_slice(spark, chosen.path, upto, after), chosen)
+        # all was numbered at the hand-over: what is not came later, and is the tail's
+        rows = delivered(read_slice(spark, chosen.path, upto, after, numbered_later=False), chosen)
         publish(transform(rows) if transform else rows, out, publisher=_BACKFILL, batch_id=number, **publishing)
     return last
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import pickle
 import random
 import re
 from collections import Counter, defaultdict
@@ -301,6 +302,16 @@ def test_toxic_documents_are_found(marked, odd):
     assert toxicity.drop_toxic(odd, model).columns == odd.columns
 
 
+def test_toxicity_model_is_sent_without_its_filters(spark):
+    rows, labels = marked_rows(200)
+    docs, labels = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, labels, F.lit(True))
+    filters = model.filters
+    sent = pickle.dumps(model)
+    assert len(sent) < filters.nbytes / 2
+    assert np.array_equal(pickle.loads(sent).filters, filters)
+
+
 def test_thresholds_follow_the_share_of_toxic_texts(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "SAMPLE_ROWS", {1: 400, 0: 800})
     draw = random.Random(5)

@@ -17,12 +17,15 @@ import zlib
 from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidelog.llm.common import give_back
+
 WIDTHS = (1, 2, 3)
 FILTERS = 8
 WIDTH_OF_EMBEDDING = 16
@@ -56,13 +59,23 @@ def word_buckets(word: str) -> list[int]:
 
 @dataclass
 class ToxicityModel:
-    filters: np.ndarray | None = None  # buckets x (sum of widths * FILTERS): embedding times each filter's columns
+    embedding: np.ndarray | None = None  # buckets x WIDTH_OF_EMBEDDING
+    kernel: np.ndarray | None = None  # WIDTH_OF_EMBEDDING x (sum of widths * FILTERS)
     bias: np.ndarray | None = None  # of the filters, widths x FILTERS
     weights: np.ndarray | None = None  # of the pooled filters
     constant: float = 0.0
     by_language: np.ndarray | None = None  # buckets x languages, log-probability of a word
     thresholds: np.ndarray | None = None  # one for each language
 
+    @cached_property
+    def filters(self) -> np.ndarray:
+        """Buckets x (sum of widths * FILTERS): embedding times each filter's columns, made where texts are scored."""
+        return self.embedding @ self.kernel
+
+    def __getstate__(self) -> dict:
+        """Without the filters, three times as large as what they are made from."""
+        return {name: value for name, value in self.__dict__.items() if name != "filters"}
+
     def logit(self, responses: np.ndarray) -> float:
         """Of a text as one row of filter responses for each word."""
         pooled = pool([responses[:, first:last] for first, last in spans()], len(responses))[0]
@@ -125,14 +138,15 @@ def fit(
 
     rows = sample(docs, labels, id_col, text_col, lang_col).orderBy("draw", "text").toArrow()  # the same order, and model, in each run
     draws = rows.column("draw").to_pylist()
+    marks = rows.column("label").to_numpy().astype(np.float32)
+    languages = [language or "" for language in rows.column("lang").to_pylist()]
+    words = Vocabulary(rows.column("text"))
+    del rows  # the driver holds the texts or what is learnt from them, not both
     held = np.arange(len(draws)) % 5 == 4
-    model = train(
-        rows.column("text"),
-        rows.column("label").to_numpy().astype(np.float32),
-        [language or "" for language in rows.column("lang").to_pylist()],
-        held,
-    )
-    if model.filters is not None:
+    model = train(words, marks, languages, held)
+    del words
+    give_back()
+    if model.embedding is not None:
         learnt = {draw for draw, out in zip(draws, held) if not out}
         _fit_thresholds(model, *_counted(docs.where(usable), labels, model, learnt, id_col, text_col))
     return model
@@ -167,15 +181,20 @@ def _counted(
     return [columns[0], np.sinh(columns[1] / _BINS), columns[2], columns[3] == 1, columns[4]]
 
 
-class _Vocabulary:
-    """The words of the learning texts, numbered, and the buckets of each, one after the other."""
+class Vocabulary:
+    """The words of the learning texts, numbered, and the buckets of each, one after the other.
+
+    The texts are parts of one array, which the driver gives back whole.
+    """
 
     def __init__(self, texts: Iterable[pa.Scalar]):
         numbers: dict[str, int] = {}
-        self.texts = [
-            np.array([numbers.setdefault(word, len(numbers)) for word in _WORDS.findall(text.as_py().lower())], np.int32)
-            for text in texts
-        ]
+        run, ends = array("i"), [0]
+        for text in texts:
+            run.extend([numbers.setdefault(word, len(numbers)) for word in _WORDS.findall(text.as_py().lower())])
+            ends.append(len(run))
+        every = np.frombuffer(run, np.int32)
+        self.texts = [every[first:last] for first, last in zip(ends, ends[1:])]
         flat, sizes = array("i"), array("b")  # many words, so no list for each
         for word in numbers:
             own = word_buckets(word)
@@ -200,12 +219,11 @@ class _Vocabulary:
         return np.add.reduceat(table[buckets], begins)[inverse]
 
 
-def train(texts: Iterable[pa.Scalar], labels: np.ndarray, languages: list[str], held: np.ndarray) -> ToxicityModel:
+def train(words: Vocabulary, labels: np.ndarray, languages: list[str], held: np.ndarray) -> ToxicityModel:
     """The model, without thresholds. The ``held`` texts only choose the pass."""
     model = ToxicityModel()
     if len(set(labels.tolist())) < 2:
         return model
-    words = _Vocabulary(texts)
     _fit_filters(model, words, labels, _balance(labels, languages, ~held), np.flatnonzero(~held), np.flatnonzero(held))
     _fit_languages(model, words, languages)
     return model
@@ -246,7 +264,7 @@ def _loss(logits: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> float:
 
 
 def _fit_filters(
-    model: ToxicityModel, words: _Vocabulary, labels: np.ndarray, balance: np.ndarray, train_on: np.ndarray, held: np.ndarray
+    model: ToxicityModel, words: Vocabulary, labels: np.ndarray, balance: np.ndarray, train_on: np.ndarray, held: np.ndarray
 ) -> None:
     """Passes over the learning texts; what stays is the pass that does best on the held ones."""
     draw = np.random.default_rng(7)
@@ -309,15 +327,17 @@ def _fit_filters(
                 embedding.update(to_rows, rows, trust[rows, None])
             for part, gradient in zip((bias, weights, constant), gradients):
                 part.update(gradient)
-        now = ToxicityModel(embedding.value @ kernel.value, bias.value.copy(), weights.value.copy(), float(constant.value[0]))
+        now = ToxicityModel(embedding.value, kernel.value, bias.value, weights.value, float(constant.value[0]))
         logits = np.array([now.logit(words.sums(now.filters, ids[i])) for i in held])
         loss = _loss(logits, labels[held], balance[held]) if len(held) else 0.0
         if loss < best_loss:
             best_loss = loss
-            model.filters, model.bias, model.weights, model.constant = now.filters, now.bias, now.weights, now.constant
+            model.embedding, model.kernel = embedding.value.copy(), kernel.value.copy()
+            model.bias, model.weights, model.constant = bias.value.copy(), weights.value.copy(), now.constant
+        del now  # with its filters, before those of the next pass are made
 
 
-def _fit_languages(model: ToxicityModel, words: _Vocabulary, languages: list[str]) -> None:
+def _fit_languages(model: ToxicityModel, words: Vocabulary, languages: list[str]) -> None:
     names = sorted(set(languages))
     counts = np.full((BUCKETS, len(names)), 0.5)
     for text, language in zip(words.texts, languages):
@@ -415,7 +435,7 @@ class _Scorer:
 
     def _forget(self) -> None:
         self._numbers: dict[str, int] = {}
-        if self._model.filters is not None:
+        if self._model.embedding is not None:
             self._responses = np.zeros((1024, self._model.filters.shape[1]), np.float32)
             self._languages = np.zeros((1024, self._model.by_language.shape[1]), np.float32)
 
@@ -424,7 +444,7 @@ class _Scorer:
 
     def _score(self, text: str) -> float:
         """0 to 1, with the threshold at 0.5."""
-        if self._model.filters is None:
+        if self._model.embedding is None:
             return 0.0
         language, logit = self.mark(text)
         return float(1 / (1 + np.exp(-np.clip(logit - self._model.thresholds[language], -500, 500))))

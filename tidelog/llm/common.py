@@ -3,7 +3,12 @@
 from __future__ import annotations
 
 import ctypes
+from collections.abc import Iterator
+from itertools import pairwise
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +46,21 @@ def give_back() -> None:
         trim(0)
 
 
+def strings(values: pa.Array) -> list[str]:
+    """The values as a list, ten times as fast as ``to_pylist``."""
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
+def runs(texts: pa.Array, most: int) -> Iterator[pa.Array]:
+    """Runs of neighbouring texts without nulls; those after a run's first one have less than ``most`` bytes."""
+    if not len(texts):
+        return
+    upto = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64) // most
+    firsts = [0, *(np.flatnonzero(np.diff(upto)) + 1).tolist(), len(texts)]
+    for first, last in pairwise(firsts):
+        yield texts.slice(first, last - first)
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, all other characters as they are; null is empty.
 

@@ -12,33 +12,40 @@ counts by reading task, so no window ever holds the pieces of a frequent length.
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import stored
+from tidelog.llm.common import runs, stored, strings
 
 LIMIT = 2048
 END_ID = 0
-_ROWS_AT_ONCE = 256
-_KNOWN_CHUNKS = 400_000
-_KNOWN_WORDS = 300_000  # in each of two generations
+_BYTES_AT_ONCE = 4 << 20  # of texts that are looked at together, beside the first
+_KNOWN_WORDS = 200_000  # in each of two generations
 # ASCII marks that are never joined to letters or digits by the tokenizer's split; an
 # apostrophe may be.
 _MARKS = ".,;:!?()\"-|*#%&$"
+_LATIN_WORD = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+# Byte-level tokenizers write these bytes as characters beyond Latin-1, the others as what they are there.
+_UNPRINTED = [byte for byte in range(256) if byte < 33 or 127 <= byte < 161 or byte == 173]
+_BYTE_LEVEL = {byte: 256 + n for n, byte in enumerate(_UNPRINTED)}
 
 
 class ChunkTokens:
     """Token ids of texts, put together from their chunks between blanks.
 
-    For tokenizers that drop white space and never join tokens over it. Ids of chunks
-    and words seen before are kept, up to a fixed number.
+    For tokenizers that drop white space and never join tokens over it. Arrow tells the chunks of some texts apart, so that
+    each is looked up once for all of them. Ids of words seen before are kept, up to a fixed number.
     """
 
     def __init__(self, path: str):
@@ -47,51 +54,83 @@ class ChunkTokens:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._chunks: dict[str, bytes] = {}
+        self._model = self._tokenizer.model
         self._words: dict[str, bytes] = {}
         self._older_words: dict[str, bytes] = {}
-        model, alphabet = self._tokenizer.model, "thequickbrownfoxjumpsoverthelazydog"
-        whole = [token.id for token in model.tokenize(alphabet)]
-        # where small ASCII letters reach the model as they are, such a word needs nothing else
-        self._model = model if whole == self._tokenizer.encode(alphabet, add_special_tokens=False).ids else None
+        alphabet = "".join(filter(_LATIN_WORD.fullmatch, map(chr, range(256))))
+        # where letters of Latin-1 reach the model small and byte by byte, a word of such letters needs nothing else
+        self._plain = self._of_letters(alphabet) == self._of_any([alphabet])[0]
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian 32-bit numbers."""
-        chunks = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        known = self._chunks
-        new = [chunk for chunk in set(chunks) if chunk not in known]
-        if new:
-            if len(known) + len(new) > _KNOWN_CHUNKS:
-                known.clear()
-                new = list(set(chunks))
-            self._learn(new)
-        return b"".join([known[chunk] for chunk in chunks])
-
-    def _learn(self, chunks: list[str]) -> None:
+        return self.encode_all(pa.array([text], pa.string()))[0].tobytes()
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and where those of each text begin, with the end of all."""
+        split = pc.ascii_split_whitespace(texts)
+        chunks = split.flatten().dictionary_encode()
+        ids, sizes = self._chunks(chunks.dictionary)
+        which = chunks.indices.to_numpy()
+        ends = np.cumsum(np.concatenate([[0], sizes[which]]))
+        begins = np.cumsum(np.concatenate([[0], pc.list_value_length(split).to_numpy()]))
+        return _gathered(ids, sizes, which), ends[begins]
+
+    def _chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some chunks, one after the other, and how many each has.
+
+        Marks at the end of a word are tokens of their own, and ASCII has one lower case.
+        """
+        bare = pc.ascii_rtrim(chunks, characters=_MARKS)
+        cut = pc.and_(pc.utf8_is_alnum(bare), pc.not_equal(bare, chunks))
+        words = pc.if_else(cut, bare, chunks)
+        words = pc.if_else(pc.string_is_ascii(words), pc.ascii_lower(words), words)
+        lengths = pc.utf8_length(bare.filter(cut)).to_numpy().tolist()
+        marks = [chunk[length:] for chunk, length in zip(strings(chunks.filter(cut)), lengths)]
+        parts = pa.concat_arrays([words, pa.array(marks, words.type)]).dictionary_encode()
+        known = self._known(strings(parts.dictionary))
+        part_sizes = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        which, marked = parts.indices.to_numpy(), np.flatnonzero(cut.to_numpy(zero_copy_only=False))
+        own, after = which[: len(chunks)], which[len(chunks):]
+        sizes = part_sizes[own]
+        sizes[marked] += part_sizes[after]
+        ids = np.frombuffer(b"".join(known), "<u4")
+        return _gathered(ids, part_sizes, np.insert(own, marked + 1, after)), sizes
+
+    def _known(self, words: list[str]) -> list[bytes]:
+        """Ids of each word."""
         if len(self._words) > _KNOWN_WORDS:  # words that come up again move on to the next generation
             self._words, self._older_words = {}, self._words
-        parts = [self._parts(chunk) for chunk in chunks]
-        new = []
-        for part in {part for group in parts for part in group if part not in self._words}:
-            if part in self._older_words:
-                self._words[part] = self._older_words[part]
-            elif self._model and part.isascii() and part.isalpha() and part.islower():
-                ids = [token.id for token in self._model.tokenize(part)]
-                self._words[part] = np.array(ids, "<u4").tobytes()
+        known, older, others = self._words, self._older_words, []
+        for word in words:
+            if word in known:
+                continue
+            if word in older:
+                known[word] = older[word]
+            elif self._plain and _LATIN_WORD.fullmatch(word):
+                known[word] = self._of_letters(word)
             else:
-                new.append(part)
-        for word, found in zip(new, self._tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self._words[word] = np.array(found.ids, "<u4").tobytes()
-        for chunk, group in zip(chunks, parts):
-            self._chunks[chunk] = b"".join([self._words[part] for part in group])
+                others.append(word)
+        known.update(zip(others, self._of_any(others)))
+        return [known[word] for word in words]
+
+    def _of_letters(self, word: str) -> bytes:
+        letters = word.lower()
+        if not letters.isascii():
+            letters = letters.encode().decode("latin-1").translate(_BYTE_LEVEL)
+        ids = [token.id for token in self._model.tokenize(letters)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _of_any(self, words: list[str]) -> list[bytes]:
+        found = [encoding.ids for encoding in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in found]
+
 
-    @staticmethod
-    def _parts(chunk: str) -> tuple[str, ...]:
-        """Marks at the end are tokens of their own, and ASCII has one lower case."""
-        word = chunk.rstrip(_MARKS)
-        if len(word) == len(chunk) or not word.isalnum():
-            return (chunk.lower() if chunk.isascii() and chunk.isalnum() else chunk,)
-        return (word.lower() if word.isascii() else word, chunk[len(word):])
+def _gathered(values: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The runs ``which`` of ``values``, one after the other; run n has ``sizes[n]`` values and follows run n - 1."""
+    own, begins = sizes[which], np.cumsum(sizes) - sizes
+    places = np.repeat(begins[which] - (np.cumsum(own) - own), own)
+    places += np.arange(len(places))
+    return values[places]
 
 
 _loaded: dict[str, ChunkTokens] = {}
@@ -108,13 +147,16 @@ def pieces(docs: DataFrame, path: str, limit: int, end_id: int, id_col: str, tex
             _loaded[path] = ChunkTokens(path)
         tokens, task, seen = _loaded[path], TaskContext.get().partitionId(), Counter()
         for batch in batches:
-            for first in range(0, batch.num_rows, _ROWS_AT_ONCE):
-                some = batch.slice(first, _ROWS_AT_ONCE)
+            done = 0
+            for texts in runs(pc.fill_null(batch.column(1), ""), _BYTES_AT_ONCE):
+                some = batch.slice(done, len(texts))
+                done += len(texts)
+                encoded, begins = tokens.encode_all(texts)
                 owners, rows, ids = [], [], []
-                for owner, text in enumerate(some.column(1).to_pylist()):
-                    encoded = tokens.encode(text or "") + end
-                    for piece, at in enumerate(range(0, len(encoded), 4 * limit)):
-                        cut_ids = encoded[at : at + 4 * limit]
+                for owner, (begin, upto) in enumerate(pairwise(begins.tolist())):
+                    own = encoded[begin:upto].tobytes() + end
+                    for piece, at in enumerate(range(0, len(own), 4 * limit)):
+                        cut_ids = own[at : at + 4 * limit]
                         length = len(cut_ids) // 4
                         owners.append(owner)
                         rows.append((piece, at // 4, length, zlib.crc32(cut_ids), task, seen[length]))

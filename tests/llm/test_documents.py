@@ -6,10 +6,12 @@ import hashlib
 import pickle
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 from tidelog.llm import (
     content_sort, fingerprints, jaccard, language_id, licenses, mixing, packing, sharding, toxicity,
 )
+from tidelog.llm.common import runs
 from compare import difference, tables_of
 from tidelog.llm.oracles import SQL
 from tidelog.llm.queries import edited_end as edit  # workers can import it, unlike a function of a test
@@ -264,9 +267,58 @@ def test_chunks_give_the_tokens_of_the_whole(text):
     assert packing.ChunkTokens(TOKENIZER).encode(text) == np.array(whole, "<u4").tobytes()
 
 
+def test_tokens_of_many_texts_keep_a_bounded_number_of_words(monkeypatch):
+    monkeypatch.setattr(packing, "_KNOWN_WORDS", 50)
+    tokens, whole = packing.ChunkTokens(TOKENIZER), packing.ChunkTokens(TOKENIZER)
+    letters = "abcdefghij"
+    words = ["x" + "".join(letters[int(digit)] for digit in str(n)) for n in range(2000)]
+    marks = ["", ".", ",", "!?", "\u00e9.", "\u00c9", "'s", "1)"]
+    texts = [" ".join(word + mark for word in words[n : n + 20] for mark in marks) for n in range(0, 2000, 20)]
+    for n in range(0, len(texts), 2):
+        two = texts[n : n + 2]
+        ids, begins = tokens.encode_all(pa.array(two))
+        assert [ids[begins[k] : begins[k + 1]].tobytes() for k in range(2)] == [whole.encode(text) for text in two]
+    kept = sum(len(known) for known in vars(tokens).values() if isinstance(known, dict))
+    assert kept <= 2 * (50 + 40 * len(marks))
+
+
+@pytest.mark.parametrize("most", [1, 7, 10**6])
+def test_runs_of_texts_hold_all_of_them_in_turn(most):
+    texts = ["", "abc", "defgh", "", "i" * 20, "j", ""]
+    found = [some.to_pylist() for some in runs(pa.array(texts), most)]
+    assert sum(found, []) == texts and all(found)
+    assert all(sum(map(len, some[1:])) < most for some in found)
+    assert not list(runs(pa.array([], pa.string()), most))
+
+
 # --- toxicity, language, licenses -----------------------------------------------------
 
 
+def test_scorer_keeps_nothing_of_the_texts_and_scores_them_alike_alone_and_together():
+    rows, _ = marked_rows(200)
+    texts = [text for _, text, *_ in rows] + ["", None, "1 2 _", "A\u00e9\u00b2\u00aab_c1D \u0130\u03a3 \u4e2d", "x" * 300]
+    words = toxicity.Vocabulary(pa.array([text or "" for text in texts]))
+    marks = np.array([float(n % 4 == 0) for n in range(len(texts))], np.float32)
+    model = toxicity.train(words, marks, ["en"] * len(texts), np.arange(len(texts)) % 5 == 4)
+    model.thresholds = np.zeros(1)
+    scorer = toxicity._Scorer(model)
+    together = scorer(pa.array(texts))
+    assert np.array_equal(together, np.concatenate([scorer(pa.array([text], pa.string())) for text in texts]))
+    assert list(vars(scorer).values()) == [model]
+
+
+def test_buckets_of_words_are_checksums_of_the_word_and_its_beginnings():
+    words = ["a", "abcd", "abcde", "\u00e9\u00e8\u00e0", "abcdefghijk", "\u4e2d\u6587\u5b57", "x" * 300]
+    wanted = []
+    for word in words:
+        raw = word.encode()
+        wanted.append([zlib.crc32(raw)] + [zlib.crc32(raw[:n], n) for n in toxicity.BEGINNINGS if n < len(raw)])
+    found, sizes = toxicity.buckets_of(words)
+    assert found.tolist() == [value % toxicity.BUCKETS for own in wanted for value in own]
+    assert sizes.tolist() == [len(own) for own in wanted]
+    assert all(toxicity.words_of(text) == re.findall(r"[^\W\d_]+", text.lower()) for text in ["A\u00e9\u00b2\u00bd\u00aab_c1d", "\u0130\u03a3 x", "\u00b5m \u01c5"])
+
+
 def marked_rows(count=400):
     draw = random.Random(2)
     words = {"en": [f"en{n}" for n in range(60)], "de": [f"de{n}" for n in range(60)]}

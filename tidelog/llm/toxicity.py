@@ -18,13 +18,15 @@ from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cached_property
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import give_back
+from tidelog.llm.common import give_back, runs, strings
 
 WIDTHS = (1, 2, 3)
 FILTERS = 8
@@ -45,16 +47,49 @@ _HIDDEN = 0.2
 _LEAST_TOXIC = 20
 # Logits are counted in bins of equal width of their inverse hyperbolic sine.
 _BINS = 256
-_KNOWN_WORDS = 200_000
+_BYTES_AT_ONCE = 4 << 20  # of texts whose words are told apart together, beside the first
+_WORDS_AT_ONCE = 4096
 _WORDS = re.compile(r"[^\W\d_]+")
+# the same letters, as a set that is looked up faster, for texts without others
+_LATIN_WORDS = re.compile(f"[{''.join(filter(_WORDS.fullmatch, map(chr, range(256))))}]+")
 
 
-def word_buckets(word: str) -> list[int]:
-    """The bucket of the whole word, then those of its beginnings."""
-    raw = word.encode("utf-8", "surrogatepass")
-    buckets = [zlib.crc32(raw) % BUCKETS]
-    buckets += [zlib.crc32(raw[:length], length) % BUCKETS for length in BEGINNINGS if length < len(raw)]
-    return buckets
+def _crc_table() -> np.ndarray:
+    """What CRC-32 makes of each byte."""
+    values = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        values = np.where(values & 1, (values >> 1) ^ np.uint32(0xEDB88320), values >> 1)
+    return values
+
+
+_CRC = _crc_table()
+
+
+def words_of(text: str) -> list[str]:
+    """The runs of letters of a text, in lower case."""
+    text = text.lower()
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return _WORDS.findall(text)
+    return _LATIN_WORDS.findall(text)
+
+
+def buckets_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """For each word the buckets of the whole word, then of its beginnings, all one after the other; and how many each has."""
+    raw = [word.encode("utf-8", "surrogatepass") for word in words]
+    lengths = np.fromiter(map(len, raw), np.int64, len(raw))
+    firsts, flat = np.cumsum(lengths) - lengths, np.frombuffer(b"".join(raw), np.uint8)
+    there = np.stack([lengths >= 0, *[length < lengths for length in BEGINNINGS]], axis=1)
+    table = np.zeros(there.shape, np.int32)
+    table[:, 0] = np.fromiter(map(zlib.crc32, raw), np.int64, len(raw)) % BUCKETS
+    for column, length in enumerate(BEGINNINGS, 1):
+        rows = np.flatnonzero(there[:, column])
+        state = np.full(len(rows), length ^ 0xFFFFFFFF, np.uint32)  # as zlib.crc32(beginning, length)
+        for offset in range(length):
+            state = _CRC[(state ^ flat[firsts[rows] + offset]) & 0xFF] ^ (state >> 8)
+        table[rows, column] = (state ^ 0xFFFFFFFF) % BUCKETS
+    return table[there], there.sum(axis=1)
 
 
 @dataclass
@@ -78,7 +113,7 @@ class ToxicityModel:
 
     def logit(self, responses: np.ndarray) -> float:
         """Of a text as one row of filter responses for each word."""
-        pooled = pool([responses[:, first:last] for first, last in spans()], len(responses))[0]
+        pooled = pooled_best([responses[:, first:last] for first, last in spans()], len(responses))
         return float(np.maximum(pooled + self.bias, 0).ravel() @ self.weights + self.constant)
 
 
@@ -88,19 +123,32 @@ def spans() -> list[tuple[int, int]]:
     return list(zip(edges[:-1].tolist(), edges[1:].tolist()))
 
 
-def pool(columns: list[np.ndarray], words: int) -> tuple[np.ndarray, np.ndarray]:
-    """The largest response of each filter over the words and where it is; texts are followed by zeros."""
-    best, where = np.zeros((len(WIDTHS), FILTERS), np.float32), np.zeros((len(WIDTHS), FILTERS), np.int64)
-    if not words:
-        return best, where
+def _banks(columns: list[np.ndarray], words: int) -> Iterator[np.ndarray]:
+    """The responses of each width's filters at each word; texts are followed by zeros."""
     first = 0
-    for bank, width in enumerate(WIDTHS):
+    for width in WIDTHS:
         response = columns[first].copy()
         for offset in range(1, width):
             response[: words - offset] += columns[first + offset][offset:] if words > offset else 0
+        yield response
+        first += width
+
+
+def pooled_best(columns: list[np.ndarray], words: int) -> np.ndarray:
+    """The largest response of each filter over the words."""
+    if not words:
+        return np.zeros((len(WIDTHS), FILTERS), np.float32)
+    return np.stack([response.max(axis=0) for response in _banks(columns, words)])
+
+
+def pool(columns: list[np.ndarray], words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The largest response of each filter over the words and where it is."""
+    best, where = np.zeros((len(WIDTHS), FILTERS), np.float32), np.zeros((len(WIDTHS), FILTERS), np.int64)
+    if not words:
+        return best, where
+    for bank, response in enumerate(_banks(columns, words)):
         where[bank] = response.argmax(axis=0)
         best[bank] = response[where[bank], np.arange(FILTERS)]
-        first += width
     return best, where
 
 
@@ -168,15 +216,16 @@ def _counted(
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _Scorer(shared.value)
         for batch in batches:
-            marks = [scorer.mark(text.as_py() or "") for text in batch.column("text")]
-            found = pa.array([language for language, _ in marks], pa.int32())
-            bins = pa.array([round(float(np.arcsinh(logit)) * _BINS) for _, logit in marks], pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), found, bins], ["id", "found", "bin"])
+            found, logits = scorer.marks(batch.column("text"))
+            bins = np.rint(np.arcsinh(logits) * _BINS).astype(np.int32)
+            columns = [batch.column("id"), pa.array(found.astype(np.int32)), pa.array(bins)]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "found", "bin"])
 
     scored = read.mapInArrow(placed, f"id {id_type}, found int, bin int").withColumnRenamed("id", id_col)
     seen = spark.createDataFrame([(draw, True) for draw in sorted(learnt)], "draw long, learnt boolean")
     known = scored.join(labels, id_col).withColumn("draw", F.xxhash64(id_col)).join(F.broadcast(seen), "draw", "left")
     rows = known.groupBy("found", "bin", "label", F.coalesce("learnt", F.lit(False)).alias("learnt")).count().collect()
+    shared.unpersist()  # the executors get another one, with thresholds
     columns = np.array([tuple(row) for row in rows], np.int64).reshape(-1, 5).T
     return [columns[0], np.sinh(columns[1] / _BINS), columns[2], columns[3] == 1, columns[4]]
 
@@ -191,16 +240,11 @@ class Vocabulary:
         numbers: dict[str, int] = {}
         run, ends = array("i"), [0]
         for text in texts:
-            run.extend([numbers.setdefault(word, len(numbers)) for word in _WORDS.findall(text.as_py().lower())])
+            run.extend([numbers.setdefault(word, len(numbers)) for word in words_of(text.as_py())])
             ends.append(len(run))
         every = np.frombuffer(run, np.int32)
         self.texts = [every[first:last] for first, last in zip(ends, ends[1:])]
-        flat, sizes = array("i"), array("b")  # many words, so no list for each
-        for word in numbers:
-            own = word_buckets(word)
-            flat.extend(own)
-            sizes.append(len(own))
-        self.buckets, self.sizes = np.array(flat, np.int32), np.array(sizes, np.int64)
+        self.buckets, self.sizes = buckets_of(list(numbers))
         self.firsts = np.cumsum(self.sizes) - self.sizes
 
     def of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -427,49 +471,49 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text") ->
 
 
 class _Scorer:
-    """Scores of texts; what the filters make of words seen before is kept, up to a fixed number of words."""
+    """Scores of texts. Words are told apart by Arrow, so that the filters meet each once for all texts that are given together."""
 
     def __init__(self, model: ToxicityModel):
         self._model = model
-        self._forget()
-
-    def _forget(self) -> None:
-        self._numbers: dict[str, int] = {}
-        if self._model.embedding is not None:
-            self._responses = np.zeros((1024, self._model.filters.shape[1]), np.float32)
-            self._languages = np.zeros((1024, self._model.by_language.shape[1]), np.float32)
 
     def __call__(self, texts: pa.Array) -> np.ndarray:
-        return np.array([self._score(text.as_py() or "") for text in texts], np.float64)
-
-    def _score(self, text: str) -> float:
         """0 to 1, with the threshold at 0.5."""
         if self._model.embedding is None:
-            return 0.0
-        language, logit = self.mark(text)
-        return float(1 / (1 + np.exp(-np.clip(logit - self._model.thresholds[language], -500, 500))))
-
-    def mark(self, text: str) -> tuple[int, float]:
-        """The language found in a text, and its logit."""
-        if len(self._numbers) > _KNOWN_WORDS:
-            self._forget()
-        words = _WORDS.findall(text.lower())
-        new = [word for word in dict.fromkeys(words) if word not in self._numbers]
-        if new:
-            self._learn(new)
-        ids = np.array(list(map(self._numbers.__getitem__, words)), np.int64)
-        language = int(self._languages[ids].sum(axis=0, dtype=np.float64).argmax())
-        return language, self._model.logit(self._responses[ids])
-
-    def _learn(self, words: list[str]) -> None:
-        first = len(self._numbers)
-        last = first + len(words)
-        while last > len(self._responses):
-            self._responses = np.concatenate([self._responses, np.zeros_like(self._responses)])
-            self._languages = np.concatenate([self._languages, np.zeros_like(self._languages)])
-        buckets = [word_buckets(word) for word in words]
-        begins = np.cumsum([0, *map(len, buckets)])[:-1]
-        flat = np.array([bucket for own in buckets for bucket in own], np.int64)
-        self._responses[first:last] = np.add.reduceat(self._model.filters[flat], begins)
-        self._languages[first:last] = self._model.by_language[flat[begins]]
-        self._numbers.update(zip(words, range(first, last)))
+            return np.zeros(len(texts))
+        found, logits = self.marks(texts)
+        return 1 / (1 + np.exp(-np.clip(logits - self._model.thresholds[found], -500, 500)))
+
+    def marks(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The language found in each text, and its logit."""
+        texts = pc.fill_null(texts, "")
+        every = [self._marks(some) for some in runs(texts, _BYTES_AT_ONCE)] or [([], [])]
+        found, logits = zip(*every)
+        return np.concatenate(found).astype(np.int64), np.concatenate(logits).astype(np.float64)
+
+    def _marks(self, texts: pa.Array) -> tuple[list[int], list[float]]:
+        words, ends = [], [0]
+        for text in strings(texts):
+            words += words_of(text)
+            ends.append(len(words))
+        told = pa.array(words, pa.large_string()).dictionary_encode()
+        del words
+        responses, languages = self._of_words(strings(told.dictionary))
+        every = told.indices.to_numpy()
+        found, logits = [], []
+        for first, last in pairwise(ends):
+            own = every[first:last]
+            found.append(int(languages.take(own, axis=0).sum(axis=0, dtype=np.float64).argmax()))
+            logits.append(self._model.logit(responses.take(own, axis=0)))
+        return found, logits
+
+    def _of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """For each word what the filters make of it, and its languages."""
+        buckets, sizes = buckets_of(words)
+        begins = np.cumsum(sizes) - sizes
+        responses = np.empty((len(words), self._model.filters.shape[1]), np.float32)
+        for first in range(0, len(words), _WORDS_AT_ONCE):
+            last = first + _WORDS_AT_ONCE
+            start, own = begins[first], sizes[first:last]
+            flat = buckets[start : start + own.sum()]
+            responses[first:last] = np.add.reduceat(self._model.filters[flat], begins[first:last] - start)
+        return responses, self._model.by_language[buckets[begins]]

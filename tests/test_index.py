@@ -317,3 +317,16 @@ def test_one_heavy_block_is_cut_in_smaller_ones(spark, path):
     weights = [sum(size + 64 for _, size in sizes[low:high]) for low, high in zip(bounds, bounds[1:])]
     assert len(weights) <= 4 and max(weights) <= sum(weights) / 4 + (1 << 20) + (1 << 16)
     assert landing._even_cuts(numbered, 0, 100_000, 8 << 20, 1, 10) == []
+
+
+def test_a_landing_of_few_bytes_is_one_file_and_one_micro_batch(spark, path):
+    rows = spark.range(60_000).selectExpr(
+        "int(id) AS id", "'a' AS topic", "binary(string(id)) AS payload", "timestamp_seconds(id) AS timestamp"
+    )
+    log = path("log")
+    land(rows, log)
+    files = read_log(spark, log).select(F.input_file_name()).distinct().count()
+    assert (files, read_log(spark, log).count()) == (1, 60_000)
+    limited = path("limited")
+    land(rows, limited, max_batch_messages=25_000)
+    assert read_log(spark, limited).select(F.input_file_name()).distinct().count() == 3
